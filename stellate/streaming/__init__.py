@@ -1,0 +1,6 @@
+"""Streaming.
+
+The mart is a batch build: there is no streaming operator to reproduce
+(no watermark, window, state or stream source). This package is kept for the
+incremental load the design leaves open; see README, "Not built".
+"""
