@@ -167,11 +167,11 @@ def reviews_with_order_customer(reviews: DataFrame, order_cust: DataFrame) -> Da
 def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation: DataFrame) -> DataFrame:
     """Orders, their customer and the customer's zip location, one row per order.
 
-    Geolocation is first reduced to one row per zip so the join cannot
-    multiply orders.
+    Customers go through the distinct customer dimension and geolocation is
+    first reduced to one row per zip, so neither join can multiply orders.
     """
     geo = geolocation_per_zip(geolocation)
-    oc = orders.join(customers.select(*_present(customers, CUSTOMER_COLUMNS)), "customer_id", "inner")
+    oc = orders.join(dim_customer(customers), "customer_id", "inner")
     return oc.join(
         geo, oc["customer_zip_code_prefix"] == geo["geolocation_zip_code_prefix"], "inner"
     ).drop("geolocation_zip_code_prefix")
