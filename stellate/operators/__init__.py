@@ -28,3 +28,7 @@ __all__ = [
     "row_count",
     "translate",
 ]
+
+from stellate.operators.broadcast import broadcast_if_small, measured_size  # noqa: E402
+
+__all__ += ["broadcast_if_small", "measured_size"]

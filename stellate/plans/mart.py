@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stellate.functions.calendar import calendar_columns, calendar_end
 from stellate.functions.keys import dense_key
+from stellate.operators.broadcast import broadcast_if_small
 from stellate.operators.dims import distinct_dim, translate
 from stellate.sources.spine import day_sequence, spine_from_bounds
 
@@ -145,13 +146,16 @@ def build_fact(payments: DataFrame, payment_types: DataFrame, order_cust: DataFr
 
     ``payments`` join ``payment_types`` on the natural payment_type (brings
     ``type_id``; NULL types drop), then ``order_cust`` on order_id (payments
-    without order and orders without payment drop). The payment-type join
-    comes first: that dimension is tiny, so once its size is measured AQE
-    broadcasts it and only the order_id join shuffles the payments.
+    without order and orders without payment drop).
+
+    The payment-type dimension is materialised once (so its keys are fixed)
+    and measured; within the bound it is broadcast, so the payments are never
+    shuffled on the low-cardinality payment_type and the only shuffle of the
+    fact-sized side is the one on order_id.
     """
     measures = _present(payments, PAYMENT_MEASURES)
     p = payments.select("order_id", "payment_type", *measures)
-    pt = payment_types.select("payment_type", "type_id")
+    pt = broadcast_if_small(payment_types.select("payment_type", "type_id"))
     typed = p.join(pt, "payment_type", "inner")
     fact = typed.join(order_cust, "order_id", "inner")
     seq = [c for c in ("payment_sequential",) if c in measures]
@@ -170,7 +174,8 @@ def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation
     Customers go through the distinct customer dimension and geolocation is
     first reduced to one row per zip, so neither join can multiply orders.
     """
-    geo = geolocation_per_zip(geolocation)
+    # one row per zip prefix: bounded by the prefix domain, measured before broadcasting
+    geo = broadcast_if_small(geolocation_per_zip(geolocation))
     oc = orders.join(dim_customer(customers), "customer_id", "inner")
     return oc.join(
         geo, oc["customer_zip_code_prefix"] == geo["geolocation_zip_code_prefix"], "inner"

@@ -85,7 +85,10 @@ def test_fact_scans_only_needed_columns(spark):
     plan = _plan(QUERIES["fact_order_payments"](spark, SMOKE))
     assert ("ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,"
             "l_extendedprice:double,l_returnflag:string>") in plan
-    assert "ReadSchema: struct<l_returnflag:string>" in plan  # dimension pass reads one column
+    # the payment-type dimension is materialised once, measured and broadcast:
+    # the payments are never shuffled on the low-cardinality payment_type
+    assert "Scan ExistingRDD" in plan and "BroadcastExchange" in plan
+    assert "hashpartitioning(payment_type" not in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
 
 
