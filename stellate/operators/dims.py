@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from stellate.functions.keys import dense_key
+from stellate.operators.broadcast import broadcast_if_small
 
 
 def distinct_dim(
@@ -37,13 +38,13 @@ def translate(
     """Replace ``df[on]`` by ``mapping[out]`` via a left join (unmatched -> NULL).
 
     The original column is not kept. Output columns: ``key`` (if given),
-    ``out``, then ``keep``. The mapping is a lookup table: when its size
-    statistics are under the broadcast threshold (a fixed VALUES list, a small
-    file) the planner broadcasts it and the join needs no shuffle; otherwise it
-    stays a sort-merge join.
+    ``out``, then ``keep``. The mapping is a lookup table: it is measured and,
+    within the bound, broadcast, so the translated table is never shuffled on
+    its (low-cardinality) category column; a mapping beyond the bound stays a
+    shuffle join.
     """
     keep = list(keep or [c for c in df.columns if c not in (on, key)])
-    m = mapping.select(on, out)
+    m = broadcast_if_small(mapping.select(on, out))
     joined = df.join(m, on, "left")
     head = [key] if key else []
     return joined.select(*head, out, *keep)

@@ -35,7 +35,7 @@ def build_mart(
     write_table(mart.dim_customer_slim(mp.customers), paths["dim_customer1"], fmt)
 
     ts = "order_purchase_timestamp"
-    calendar = mart.calendar_years_of(mart.calendar_for(mp.orders, ts, months_ahead), mp.orders, ts)
+    calendar = mart.calendar_years_for(mp.orders, ts, months_ahead)
     write_table(calendar, paths["dim_calendar"], fmt)
 
     oc = mart.order_customer(mp.orders, mart.dim_customer(mp.customers))

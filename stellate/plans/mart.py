@@ -77,7 +77,7 @@ def product_translation_sql(spark: SparkSession, products: DataFrame, translatio
         f"{measures} from {{prod}} pr left join {{prod_cat}} prodcat"
         " on pr.product_category_name = prodcat.product_category_name",
         prod=products,
-        prod_cat=translation,
+        prod_cat=broadcast_if_small(translation),
     )
 
 
@@ -185,13 +185,16 @@ def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation
 # --------------------------------------------------------------------------- calendar
 
 
-def _calendar_from_bounds(bounds: DataFrame, months_ahead: int) -> DataFrame:
-    """bounds has columns _start (date), _as_of (date), _load (timestamp)."""
+def _calendar_from_bounds(bounds: DataFrame, months_ahead: int, keys: bool = False) -> DataFrame:
+    """bounds has columns _start (date), _as_of (date), _load (timestamp) and,
+    with ``keys``, _lo / _hi date keys the rows are filtered to."""
     end_incl = F.date_sub(calendar_end(F.col("_as_of"), months_ahead), 1)
-    spine = bounds.select(
-        F.explode(day_sequence(F.col("_start"), end_incl)).alias("_d"), "_as_of", "_load"
-    )
-    return spine.select(*calendar_columns(F.col("_d"), F.col("_as_of"), F.col("_load")))
+    carry = ["_as_of", "_load"] + (["_lo", "_hi"] if keys else [])
+    spine = bounds.select(F.explode(day_sequence(F.col("_start"), end_incl)).alias("_d"), *carry)
+    cal = spine.select(*calendar_columns(F.col("_d"), F.col("_as_of"), F.col("_load")), *carry[2:])
+    if keys:
+        cal = calendar_between(cal, F.col("_lo"), F.col("_hi")).drop("_lo", "_hi")
+    return cal
 
 
 def calendar_dim(
@@ -231,6 +234,24 @@ def calendar_for(df: DataFrame, ts_col: str, months_ahead: int = 60) -> DataFram
     return _calendar_from_bounds(bounds, months_ahead)
 
 
+def calendar_years_for(df: DataFrame, ts_col: str, months_ahead: int = 60) -> DataFrame:
+    """``calendar_for`` kept to the whole years the data covers, in one pass.
+
+    Same rows as ``calendar_years_of(calendar_for(df, ...), df, ...)``, but
+    the year bounds come out of the same one-row aggregate as the calendar
+    bounds, so ``df`` is scanned once.
+    """
+    d = F.to_date(F.col(ts_col))
+    bounds = df.agg(
+        F.trunc(F.min(d), "YEAR").alias("_start"),
+        F.max(d).alias("_as_of"),
+        F.max(F.col(ts_col)).alias("_load"),
+        (F.year(F.min(d)) * 10000 + 101).cast("int").alias("_lo"),
+        (F.year(F.max(d)) * 10000 + 1231).cast("int").alias("_hi"),
+    )
+    return _calendar_from_bounds(bounds, months_ahead, keys=True)
+
+
 def calendar_between(calendar: DataFrame, lo: int | Column, hi: int | Column) -> DataFrame:
     """Rows with ``lo <= date_key <= hi`` (int keys yyyyMMdd, both ends inclusive)."""
     return calendar.where(F.col("date_key").between(lo, hi))
@@ -260,6 +281,7 @@ __all__ = [
     "calendar_between",
     "calendar_dim",
     "calendar_for",
+    "calendar_years_for",
     "calendar_years_of",
     "dense_key",
     "dim_customer",

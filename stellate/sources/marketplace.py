@@ -172,6 +172,32 @@ class Marketplace:
             sellers=t["supplier"],
         )
 
+    def register_views(self, spark: SparkSession, reviews: DataFrame | None = None) -> dict[str, str]:
+        """Register the tables as session views, for SQL written against them.
+
+        View names: customers, geolocation, orders, payments (also
+        order_payments), products, product_category_name_translation,
+        order_items, sellers and, when given, order_reviews. Returns
+        {view name: table}. Views are names for the lazy plans; nothing is
+        materialised.
+        """
+        views = {
+            "customers": self.customers,
+            "geolocation": self.geolocation,
+            "orders": self.orders,
+            "payments": self.order_payments,
+            "order_payments": self.order_payments,
+            "products": self.products,
+            "product_category_name_translation": self.category_translation,
+            "order_items": self.order_items,
+            "sellers": self.sellers,
+        }
+        if reviews is not None:
+            views["order_reviews"] = reviews
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return {name: name for name in views}
+
     @classmethod
     def from_raw(cls, spark: SparkSession, paths: dict[str, str]) -> "Marketplace":
         """Real marketplace extracts: the names already match."""

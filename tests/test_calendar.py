@@ -179,3 +179,6 @@ def test_data_sized_calendar(spark):
     assert as_of_flag == _add_months(hi.date(), -1).strftime("%Y%m")
     years = mart.calendar_years_of(cal, mp.orders, "order_purchase_timestamp")
     assert years.count() == (dt.date(hi.year, 12, 31) - dt.date(lo.year, 1, 1)).days + 1
+    one_pass = mart.calendar_years_for(mp.orders, "order_purchase_timestamp")
+    assert one_pass.columns == years.columns
+    assert sorted(one_pass.collect()) == sorted(years.collect())
