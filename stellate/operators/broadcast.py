@@ -42,26 +42,22 @@ FIXED_WIDTH = {
 }
 
 
-def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of ``df``; stops counting past ``max_rows`` (bytes then -1).
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` in one aggregate job.
 
     Bytes are the fixed-width sizes from the schema plus the real length of
     every string / binary value.
     """
-    rows = df.limit(max_rows + 1).count()
-    if rows > max_rows:
-        return rows, -1
     fixed = 0
     var = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
-            var.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
+            var.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)).cast("long"))
         else:
             fixed += FIXED_WIDTH.get(field.dataType.typeName(), 16)
-    if not var:
-        return rows, rows * fixed
-    total = df.agg(F.sum(sum(var[1:], var[0])).alias("b")).first()["b"] or 0
-    return rows, rows * fixed + int(total)
+    var_total = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
+    rows, var_bytes = df.agg(F.count(F.lit(1)), var_total).first()
+    return int(rows), int(rows) * fixed + int(var_bytes or 0)
 
 
 def broadcast_if_small(
@@ -72,7 +68,7 @@ def broadcast_if_small(
     """Checkpoint ``df``; return it with a broadcast hint if it is within bounds."""
     ensure_checkpoint_dir(df.sparkSession)
     frozen = df.checkpoint(eager=True)
-    rows, size = measured_size(frozen, max_rows)
-    if rows <= max_rows and 0 <= size <= max_bytes:
+    rows, size = measured_size(frozen)
+    if rows <= max_rows and size <= max_bytes:
         return F.broadcast(frozen)
     return frozen

@@ -39,8 +39,6 @@ sellers           supplier as read
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,72 +102,119 @@ def _place(customer_like: DataFrame, nation: DataFrame, region: DataFrame, key:
     )
 
 
-@dataclass(frozen=True)
+FIELDS = (
+    "customers",
+    "customer_orders",
+    "orders",
+    "order_payments",
+    "products",
+    "category_translation",
+    "geolocation",
+    "order_items",
+    "sellers",
+)
+
+
 class Marketplace:
-    """The raw tables a mart build reads, already in marketplace names."""
-
-    customers: DataFrame
-    customer_orders: DataFrame
-    orders: DataFrame
-    order_payments: DataFrame
-    products: DataFrame
-    category_translation: DataFrame
-    geolocation: DataFrame
-    order_items: DataFrame
-    sellers: DataFrame
+    """The raw tables a mart build reads, already in marketplace names.
+
+    Each table is given as a DataFrame or as a zero-argument function making
+    one; functions run on first use, so a query only opens the files it reads.
+    """
+
+    def __init__(self, **tables):
+        missing = set(FIELDS) - set(tables)
+        extra = set(tables) - set(FIELDS)
+        if missing or extra:
+            raise TypeError(f"missing {sorted(missing)}, unknown {sorted(extra)}")
+        self._sources = dict(tables)
+        self._frames: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            src = self._sources[name]
+            self._frames[name] = src if isinstance(src, DataFrame) else src()
+        return self._frames[name]
+
+    customers = property(lambda self: self._get("customers"))
+    customer_orders = property(lambda self: self._get("customer_orders"))
+    orders = property(lambda self: self._get("orders"))
+    order_payments = property(lambda self: self._get("order_payments"))
+    products = property(lambda self: self._get("products"))
+    category_translation = property(lambda self: self._get("category_translation"))
+    geolocation = property(lambda self: self._get("geolocation"))
+    order_items = property(lambda self: self._get("order_items"))
+    sellers = property(lambda self: self._get("sellers"))
 
     @classmethod
     def from_driver(cls, spark: SparkSession, root: str) -> "Marketplace":
-        t = {name: read_table(spark, root, name) for name in
-             ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
-        customers = _place(t["customer"], t["nation"], t["region"], "c_nationkey").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            F.col("c_nationkey").alias("customer_zip_code_prefix"),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
-        )
-        customer_orders = t["orders"].select(
-            F.col("o_orderkey").alias("customer_id"),
-            F.col("o_custkey").alias("customer_unique_id"),
-            F.col("o_orderpriority").alias("customer_zip_code_prefix"),
-        )
-        orders = t["orders"].select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderstatus").alias("order_status"),
-            F.col("o_orderdate").alias("order_purchase_timestamp"),
-        )
-        order_payments = t["lineitem"].select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("payment_sequential"),
-            F.col("l_returnflag").alias("payment_type"),
-            F.col("l_quantity").alias("payment_installments"),
-            F.col("l_extendedprice").alias("payment_value"),
-        )
-        products = t["part"].select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_type").alias("product_category_name"),
-            F.length("p_name").alias("product_name_lenght"),
-            F.col("p_brand").alias("product_brand"),
-            F.col("p_size").alias("product_size"),
-            F.col("p_retailprice").alias("product_retail_price"),
-        )
-        geolocation = _place(t["supplier"], t["nation"], t["region"], "s_nationkey").select(
-            F.col("s_nationkey").alias("geolocation_zip_code_prefix"),
-            F.col("n_name").alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
-        )
+        cache: dict[str, DataFrame] = {}
+
+        def t(name: str) -> DataFrame:
+            if name not in cache:
+                cache[name] = read_table(spark, root, name)
+            return cache[name]
+
+        def customers():
+            return _place(t("customer"), t("nation"), t("region"), "c_nationkey").select(
+                F.col("c_custkey").alias("customer_id"),
+                F.col("c_name").alias("customer_unique_id"),
+                F.col("c_nationkey").alias("customer_zip_code_prefix"),
+                F.col("n_name").alias("customer_city"),
+                F.col("r_name").alias("customer_state"),
+            )
+
+        def customer_orders():
+            return t("orders").select(
+                F.col("o_orderkey").alias("customer_id"),
+                F.col("o_custkey").alias("customer_unique_id"),
+                F.col("o_orderpriority").alias("customer_zip_code_prefix"),
+            )
+
+        def orders():
+            return t("orders").select(
+                F.col("o_orderkey").alias("order_id"),
+                F.col("o_custkey").alias("customer_id"),
+                F.col("o_orderstatus").alias("order_status"),
+                F.col("o_orderdate").alias("order_purchase_timestamp"),
+            )
+
+        def order_payments():
+            return t("lineitem").select(
+                F.col("l_orderkey").alias("order_id"),
+                F.col("l_linenumber").alias("payment_sequential"),
+                F.col("l_returnflag").alias("payment_type"),
+                F.col("l_quantity").alias("payment_installments"),
+                F.col("l_extendedprice").alias("payment_value"),
+            )
+
+        def products():
+            return t("part").select(
+                F.col("p_partkey").alias("product_id"),
+                F.col("p_type").alias("product_category_name"),
+                F.length("p_name").alias("product_name_lenght"),
+                F.col("p_brand").alias("product_brand"),
+                F.col("p_size").alias("product_size"),
+                F.col("p_retailprice").alias("product_retail_price"),
+            )
+
+        def geolocation():
+            return _place(t("supplier"), t("nation"), t("region"), "s_nationkey").select(
+                F.col("s_nationkey").alias("geolocation_zip_code_prefix"),
+                F.col("n_name").alias("geolocation_city"),
+                F.col("r_name").alias("geolocation_state"),
+            )
+
         return cls(
             customers=customers,
             customer_orders=customer_orders,
             orders=orders,
             order_payments=order_payments,
             products=products,
-            category_translation=category_translation(spark),
+            category_translation=lambda: category_translation(spark),
             geolocation=geolocation,
-            order_items=t["lineitem"],
-            sellers=t["supplier"],
+            order_items=lambda: t("lineitem"),
+            sellers=lambda: t("supplier"),
         )
 
     def register_views(self, spark: SparkSession, reviews: DataFrame | None = None) -> dict[str, str]:
@@ -200,17 +245,22 @@ class Marketplace:
 
     @classmethod
     def from_raw(cls, spark: SparkSession, paths: dict[str, str]) -> "Marketplace":
-        """Real marketplace extracts: the names already match."""
-        raw = read_raw(spark, paths)
-        customers = raw["customers"]
+        """Real marketplace extracts: the names already match; files open on first use."""
+        unknown = set(paths) - set(RAW_TABLES)
+        if unknown:
+            raise ValueError(f"unknown raw tables: {sorted(unknown)}")
+
+        def scan(name: str):
+            return lambda: read_parquet(spark, paths[name])
+
         return cls(
-            customers=customers,
-            customer_orders=customers,
-            orders=raw["orders"],
-            order_payments=raw["order_payments"],
-            products=raw["products"],
-            category_translation=raw["product_category_name_translation"],
-            geolocation=raw["geolocation"],
-            order_items=raw["order_items"],
-            sellers=raw["sellers"],
+            customers=scan("customers"),
+            customer_orders=scan("customers"),
+            orders=scan("orders"),
+            order_payments=scan("order_payments"),
+            products=scan("products"),
+            category_translation=scan("product_category_name_translation"),
+            geolocation=scan("geolocation"),
+            order_items=scan("order_items"),
+            sellers=scan("sellers"),
         )

@@ -77,3 +77,21 @@ def test_min_max_profile_sql(spark):
         " min(order_delivered_carrier_date), max(order_delivered_carrier_date),"
         " min(order_estimated_delivery_date), max(order_estimated_delivery_date) from orders").first()
     assert str(row[0]) == "2017-01-01" and row[1].year == 2018
+
+
+def test_from_raw_paths(spark, out_dir):
+    from stellate.sources import Marketplace
+
+    mp = marketplace(spark)
+    paths = {}
+    for name, df in {
+        "customers": mp.customers, "geolocation": mp.geolocation, "order_items": mp.order_items,
+        "orders": mp.orders, "order_payments": mp.order_payments, "products": mp.products,
+        "sellers": mp.sellers, "product_category_name_translation": mp.category_translation,
+    }.items():
+        paths[name] = f"{out_dir}/{name}.parquet"
+        df.write.parquet(paths[name])
+    raw = Marketplace.from_raw(spark, paths)
+    fact = mart.build_fact(raw.order_payments, mart.dim_payments(raw.order_payments),
+                           mart.order_customer(raw.orders, mart.dim_customer(raw.customers)))
+    assert fact.count() == 4
