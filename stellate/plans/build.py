@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from stellate.plans import mart
-from stellate.plans.publish import Published, create_view, read_back, write_table
-from stellate.plans.publish import MART_VIEWS
+from stellate.plans.publish import MART_VIEWS, Published, create_view, read_back, write_table
 from stellate.sources.marketplace import Marketplace
 
 
@@ -17,17 +16,23 @@ def build_mart(
     fmt: str = "parquet",
     months_ahead: int = 60,
     temp_views: bool = True,
+    version: str | None = None,
 ) -> Published:
     """Build and publish the four mart tables under ``root``.
 
     Order matters for correctness at scale: ``dim_payments`` is written first
     and the fact joins the *written* table, so ``type_id`` in the fact is the
-    key that was published (no second evaluation of the key assignment). The
-    read-back also gives the planner the dimension's real file size, so the
-    broadcast decision for the fact join rests on a measured size.
+    key that was published (no second evaluation of the key assignment).
+
+    Without ``version`` each table is overwritten in place at
+    ``root/<table>``. With ``version`` (a run id) the tables go to
+    ``root/<table>/_v=<version>`` and the views are switched only after all
+    four writes succeeded: a failed or half-finished run never replaces what
+    readers of the views see, and re-running the same version is idempotent.
     """
     root = root.rstrip("/")
-    paths = {name: f"{root}/{name}" for name in MART_VIEWS}
+    suffix = f"/_v={version}" if version else ""
+    paths = {name: f"{root}/{name}{suffix}" for name in MART_VIEWS}
 
     write_table(mart.dim_payments(mp.order_payments), paths["dim_payments"], fmt)
     payment_types = read_back(spark, paths["dim_payments"], fmt)

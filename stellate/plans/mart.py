@@ -37,15 +37,6 @@ ORDER_COLUMNS = (
     "order_estimated_delivery_date",
 )
 PAYMENT_MEASURES = ("payment_sequential", "payment_installments", "payment_value")
-PRODUCT_MEASURES = (
-    "product_name_lenght",
-    "product_description_lenght",
-    "product_photos_qty",
-    "product_weight_g",
-    "product_length_cm",
-    "product_height_cm",
-    "product_width_cm",
-)
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:

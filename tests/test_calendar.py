@@ -182,3 +182,23 @@ def test_data_sized_calendar(spark):
     one_pass = mart.calendar_years_for(mp.orders, "order_purchase_timestamp")
     assert one_pass.columns == years.columns
     assert sorted(one_pass.collect()) == sorted(years.collect())
+
+
+def test_random_dates_match_model(spark):
+    """Property check over two centuries (century leap rules, year ends, month ends)."""
+    import random
+
+    from stellate.functions import calendar_columns
+
+    rng = random.Random(7)
+    lo, hi = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 12, 31).toordinal()
+    days = {dt.date.fromordinal(rng.randint(lo, hi)) for _ in range(1500)}
+    days |= {dt.date(y, m, d) for y in (1900, 2000, 2100) for m, d in ((2, 28), (3, 1), (12, 31), (1, 1))}
+    as_of = dt.date(2000, 3, 31)
+    df = spark.createDataFrame([(d,) for d in sorted(days)], "d date")
+    got = df.select(*calendar_columns(F.col("d"), F.lit(as_of), F.lit(None).cast("timestamp"))).collect()
+    bad = []
+    for row in got:
+        expect = model(row["date"], as_of)
+        bad += [(row["date"], k, row[k], v) for k, v in expect.items() if row[k] != v]
+    assert not bad, bad[:10]

@@ -95,3 +95,19 @@ def test_fact_scans_only_needed_columns(spark):
 def test_duplicate_audit_uses_partial_aggregation(spark):
     plan = _plan(QUERIES["duplicate_ids_having"](spark, SMOKE))
     assert "partial_count" in plan
+
+
+def test_fact_plan_without_static_broadcasts(spark):
+    """As at scale, where no raw table is under the static threshold: the payments
+    are shuffled once (on order_id), customers never on the nation key."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["fact_order_payments"](spark, SMOKE)
+        df.collect()
+        plan = _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(payment_type" not in plan
+    assert "hashpartitioning(c_nationkey" not in plan and "hashpartitioning(_nk" not in plan
+    assert "hashpartitioning(order_id" in plan

@@ -122,3 +122,27 @@ def test_reviews_with_order_customer(spark):
     # reviews of o1, o2, o3 (x2), o4, o6; o5 has no customer
     assert got.count() == 6
     assert got.columns.count("order_id") == 1
+
+
+def test_fact_with_a_hot_order_is_complete(spark):
+    """One order holds a third of all payments: every payment row is kept."""
+    from stellate.sources.marketplace import Marketplace
+
+    n = 30000
+    pay = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.format_string("o%d", "id")).alias("order_id"),
+        F.col("id").cast("int").alias("payment_sequential"),
+        F.when(F.col("id") % 2 == 0, F.lit("credit_card")).otherwise(F.lit("boleto")).alias("payment_type"),
+        F.lit(1).alias("payment_installments"),
+        (F.col("id") * 1.0).alias("payment_value"),
+    )
+    orders = pay.select("order_id").distinct().select(
+        "order_id", F.lit("c1").alias("customer_id"), F.lit("delivered").alias("order_status"),
+        F.lit(None).cast("timestamp").alias("order_purchase_timestamp"))
+    cust = spark.createDataFrame([("c1", "u1", "01001", "sp", "SP")],
+                                 "customer_id string, customer_unique_id string, "
+                                 "customer_zip_code_prefix string, customer_city string, customer_state string")
+    fact = mart.build_fact(pay, mart.dim_payments(pay), mart.order_customer(orders, mart.dim_customer(cust)))
+    assert fact.count() == n
+    assert fact.where("order_id = 'hot'").count() == n // 3
+    assert fact.agg(F.sum("payment_value")).first()[0] == sum(range(n))

@@ -1,5 +1,7 @@
 """Publishing: overwrite writes, read-back equality, views, catalog statements."""
 
+import pytest
+
 from fixtures import marketplace
 from stellate.plans import MART_VIEWS, build_mart, create_view, mart, publish, read_back, sample_view, write_table
 from stellate.session import ensure_checkpoint_dir, shared_dir
@@ -66,3 +68,25 @@ def test_shared_dir_prefers_checkpoint_dir(spark):
     if root:
         assert got.startswith(root.rstrip("/"))
     assert ensure_checkpoint_dir(spark)
+
+
+def test_versioned_publish_switches_views_after_all_writes(spark, out_dir):
+    mp = marketplace(spark)
+    first = build_mart(spark, mp, f"{out_dir}/vm", months_ahead=12, version="r1")
+    assert first.paths["fact"].endswith("/fact/_v=r1")
+    assert spark.table("vw_fact").count() == 4
+
+    # a run that dies part-way (here: the payments source fails) leaves the views on r1
+    from stellate.sources.marketplace import FIELDS, Marketplace
+
+    def failing():
+        raise RuntimeError("payments source unavailable")
+
+    tables = {f: getattr(mp, f) for f in FIELDS}
+    tables["order_payments"] = failing
+    with pytest.raises(RuntimeError):
+        build_mart(spark, Marketplace(**tables), f"{out_dir}/vm", months_ahead=12, version="r2")
+    assert spark.sql("select * from vw_fact").inputFiles()[0].count("_v=r1") == 1
+    second = build_mart(spark, mp, f"{out_dir}/vm", months_ahead=12, version="r2")
+    assert "_v=r2" in spark.table("vw_fact").inputFiles()[0]
+    assert read_back(spark, first.paths["fact"]).count() == read_back(spark, second.paths["fact"]).count()
