@@ -15,7 +15,7 @@ from stellate.functions.calendar import calendar_columns, calendar_end
 from stellate.functions.keys import dense_key
 from stellate.operators.broadcast import broadcast_if_small
 from stellate.operators.dims import distinct_dim, translate
-from stellate.sources.spine import day_sequence, spine_from_bounds
+from stellate.sources.spine import spine_from_bounds
 
 # Column names of the marketplace tables the mart reads.
 CUSTOMER_COLUMNS = (
@@ -179,9 +179,9 @@ def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation
 def _calendar_from_bounds(bounds: DataFrame, months_ahead: int, keys: bool = False) -> DataFrame:
     """bounds has columns _start (date), _as_of (date), _load (timestamp) and,
     with ``keys``, _lo / _hi date keys the rows are filtered to."""
-    end_incl = F.date_sub(calendar_end(F.col("_as_of"), months_ahead), 1)
+    bounds = bounds.withColumn("_end", F.date_sub(calendar_end(F.col("_as_of"), months_ahead), 1))
     carry = ["_as_of", "_load"] + (["_lo", "_hi"] if keys else [])
-    spine = bounds.select(F.explode(day_sequence(F.col("_start"), end_incl)).alias("_d"), *carry)
+    spine = spine_from_bounds(bounds, "_start", "_end", "_d", keep=carry)
     cal = spine.select(*calendar_columns(F.col("_d"), F.col("_as_of"), F.col("_load")), *carry[2:])
     if keys:
         cal = calendar_between(cal, F.col("_lo"), F.col("_hi")).drop("_lo", "_hi")

@@ -17,6 +17,14 @@ def day_sequence(start: Column, end: Column) -> Column:
     ).otherwise(F.array().cast("array<date>"))
 
 
+def month_sequence(start: Column, end: Column) -> Column:
+    """First days of every month touching [start, end]; empty when end < start."""
+    return F.when(
+        end >= start,
+        F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month")),
+    ).otherwise(F.array().cast("array<date>"))
+
+
 def spine_from_bounds(
     bounds: DataFrame, start: str, end: str, name: str = "calendarDate", keep: list[str] | None = None
 ) -> DataFrame:
@@ -26,11 +34,20 @@ def spine_from_bounds(
     lists other columns of that row to carry along (for instance an as-of
     date). The spine's length is the number of days in the range, not a
     function of the data volume.
+
+    Generation is spread out: the range is first cut into one row per month,
+    the months are dealt round-robin over the cluster's default parallelism,
+    and each task expands its own months into days. No task builds the whole
+    range.
     """
     keep = keep or []
-    return bounds.select(
-        F.explode(day_sequence(F.col(start), F.col(end))).alias(name), *keep
-    )
+    s, e = F.col(start), F.col(end)
+    months = bounds.select(F.explode(month_sequence(s, e)).alias("_month"), start, end, *keep)
+    parallelism = bounds.sparkSession.sparkContext.defaultParallelism
+    months = months.repartition(max(1, parallelism))
+    first = F.greatest(F.col("_month"), s)
+    last = F.least(F.last_day(F.col("_month")), e)
+    return months.select(F.explode(day_sequence(first, last)).alias(name), *keep)
 
 
 def date_spine(spark: SparkSession, start: str, end: str, name: str = "calendarDate") -> DataFrame:

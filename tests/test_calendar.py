@@ -153,9 +153,13 @@ def test_reversed_range_is_empty(spark):
 
 
 def test_spine_inclusive(spark):
-    rows = date_spine(spark, "2016-01-01", "2023-12-31").collect()
-    assert len(rows) == 2922
-    assert rows[0]["calendarDate"] == dt.date(2016, 1, 1)
+    days = [r["calendarDate"] for r in date_spine(spark, "2016-01-01", "2023-12-31").collect()]
+    assert len(days) == len(set(days)) == 2922
+    assert min(days) == dt.date(2016, 1, 1) and max(days) == dt.date(2023, 12, 31)
+    # a range inside one month, and one crossing a year end
+    mid = [r[0] for r in date_spine(spark, "2016-02-10", "2016-02-12").collect()]
+    assert sorted(mid) == [dt.date(2016, 2, d) for d in (10, 11, 12)]
+    assert date_spine(spark, "2015-12-30", "2016-01-02").count() == 4
 
 
 def test_reformat_date(spark):
