@@ -90,3 +90,21 @@ def test_versioned_publish_switches_views_after_all_writes(spark, out_dir):
     second = build_mart(spark, mp, f"{out_dir}/vm", months_ahead=12, version="r2")
     assert "_v=r2" in spark.table("vw_fact").inputFiles()[0]
     assert read_back(spark, first.paths["fact"]).count() == read_back(spark, second.paths["fact"]).count()
+
+
+def test_command_line_build(spark, out_dir):
+    import json
+    import contextlib
+    import io
+
+    from conftest import SMOKE
+    from stellate.__main__ import main
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        assert main(["build", "--driver-root", SMOKE, "--out", f"{out_dir}/cli"]) == 0
+    out = json.loads(buf.getvalue().strip().splitlines()[-1])
+    assert set(out["paths"]) == {"dim_payments", "dim_customer1", "dim_calendar", "fact"}
+    fact = read_back(spark, out["paths"]["fact"])
+    assert fact.count() == read_back(spark, out["paths"]["fact"]).count() > 0
+    assert spark.table("vw_fact").count() == fact.count()
