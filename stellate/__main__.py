@@ -40,6 +40,10 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--format", default="parquet", help="output data source (parquet, delta, ...)")
     build.add_argument("--months-ahead", type=int, default=60)
     build.add_argument("--version", default=None, help="run id: write to <table>/_v=<id>, switch views at the end")
+    build.add_argument("--view", action="append", default=[],
+                       help="<table>=<view name> to rename a published view, repeatable")
+    build.add_argument("--database", default=None,
+                       help="create persistent views in this database (created if missing)")
     build.add_argument("--master", default=None)
     build.add_argument("--shuffle-partitions", type=int, default=None)
     args = parser.parse_args(argv)
@@ -49,8 +53,12 @@ def main(argv: list[str] | None = None) -> int:
         mp = Marketplace.from_driver(spark, args.driver_root)
     else:
         mp = Marketplace.from_raw(spark, _parse_raw(args.raw))
+    views = dict(v.split("=", 1) for v in args.view)
+    if args.database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+        spark.catalog.setCurrentDatabase(args.database)
     published = build_mart(spark, mp, args.out, fmt=args.format, months_ahead=args.months_ahead,
-                           version=args.version)
+                           version=args.version, view_names=views, temp_views=not args.database)
     print(json.dumps({"paths": published.paths, "views": published.views}))
     return 0
 

@@ -17,6 +17,7 @@ def build_mart(
     months_ahead: int = 60,
     temp_views: bool = True,
     version: str | None = None,
+    view_names: dict[str, str] | None = None,
 ) -> Published:
     """Build and publish the four mart tables under ``root``.
 
@@ -29,7 +30,12 @@ def build_mart(
     ``root/<table>/_v=<version>`` and the views are switched only after all
     four writes succeeded: a failed or half-finished run never replaces what
     readers of the views see, and re-running the same version is idempotent.
+
+    ``view_names`` renames the views ({table: view}); missing tables keep the
+    default names of ``MART_VIEWS``. With ``temp_views=False`` they are
+    persistent views in the current database (``USE <db>`` first).
     """
+    names = {**MART_VIEWS, **(view_names or {})}
     root = root.rstrip("/")
     suffix = f"/_v={version}" if version else ""
     paths = {name: f"{root}/{name}{suffix}" for name in MART_VIEWS}
@@ -49,7 +55,7 @@ def build_mart(
     write_table(mart.build_fact(mp.order_payments, payment_types, oc), paths["fact"], fmt)
 
     views = {}
-    for name, view in MART_VIEWS.items():
+    for name, view in names.items():
         create_view(spark, view, paths[name], fmt, temp=temp_views)
         views[name] = view
     return Published(paths, views)

@@ -108,3 +108,19 @@ def test_command_line_build(spark, out_dir):
     fact = read_back(spark, out["paths"]["fact"])
     assert fact.count() == read_back(spark, out["paths"]["fact"]).count() > 0
     assert spark.table("vw_fact").count() == fact.count()
+
+
+def test_view_names_and_database(spark, out_dir):
+    mp = marketplace(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS stellate_bi")
+    spark.sql("USE stellate_bi")
+    try:
+        pub = build_mart(spark, mp, f"{out_dir}/named", months_ahead=12, temp_views=False,
+                         view_names={"fact": "vw_fact_sales", "dim_calendar": "vw_dim_calendar2"})
+        assert pub.views["fact"] == "vw_fact_sales" and pub.views["dim_payments"] == "vw_dim_payments"
+        assert spark.sql("select * from stellate_bi.vw_fact_sales limit 5").count() == 4
+        assert spark.sql("select * from vw_dim_calendar2 limit 5").count() == 5
+    finally:
+        for v in ("vw_fact_sales", "vw_dim_calendar2", "vw_dim_payments", "vw_dim_customer1"):
+            spark.sql(f"DROP VIEW IF EXISTS stellate_bi.{v}")
+        spark.sql("USE default")
