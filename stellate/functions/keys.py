@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def _sort_cols(cols: list[str]) -> list[Column]:
@@ -18,8 +19,16 @@ def _sort_cols(cols: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
+def _tie_breakers(df: DataFrame, order_by: list[str]) -> list[str]:
+    """The other orderable columns, appended to the order so ties are split."""
+    return [
+        f.name for f in df.schema.fields
+        if f.name not in order_by and not isinstance(f.dataType, MapType)
+    ]
+
+
 def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame:
-    """Add ``name`` = 1..N following ``order_by`` (ties get an arbitrary order).
+    """Add ``name`` = 1..N following ``order_by``, ties broken by the other columns.
 
     Works like ``row_number() over (order by ...)`` but without pulling every
     row into one task:
@@ -34,12 +43,16 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
        ``monotonically_increasing_id`` (consecutive within a partition).
 
     The two uses of the ranged frame share one exchange (Spark reuses it).
+    Ordering on the remaining columns after ``order_by`` makes ties
+    deterministic and lets the range partitioner split a key shared by many
+    rows over several tasks.
     """
     mid = "_stellate_mid"
     pid = "_stellate_pid"
+    order = _sort_cols(list(order_by) + _tie_breakers(df, list(order_by)))
     ranged = (
-        df.repartitionByRange(*_sort_cols(order_by))
-        .sortWithinPartitions(*_sort_cols(order_by))
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn(mid, F.monotonically_increasing_id())
         .withColumn(pid, F.shiftright(F.col(mid), 33))
     )

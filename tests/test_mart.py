@@ -126,7 +126,6 @@ def test_reviews_with_order_customer(spark):
 
 def test_fact_with_a_hot_order_is_complete(spark):
     """One order holds a third of all payments: every payment row is kept."""
-    from stellate.sources.marketplace import Marketplace
 
     n = 30000
     pay = spark.range(n).select(
