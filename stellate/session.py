@@ -58,18 +58,33 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001  (Spark Connect)
+            root = None
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir")
     return "/".join([root.rstrip("/"), *parts])
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def default_parallelism(spark: SparkSession) -> int:
+    """The cluster's default parallelism (shuffle partitions where it is not exposed)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Point ``SparkContext.setCheckpointDir`` at the configured shared folder.
 
-    Only sets a folder when the session has none, as in tests.
+    Only sets a folder when the session has none, as in tests. On Spark
+    Connect the server's ``spark.checkpoint.dir`` applies and nothing is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stellate.session import default_parallelism
+
 
 def day_sequence(start: Column, end: Column) -> Column:
     """``sequence(start, end, interval 1 day)``; an empty array when end < start.
@@ -43,8 +45,7 @@ def spine_from_bounds(
     keep = keep or []
     s, e = F.col(start), F.col(end)
     months = bounds.select(F.explode(month_sequence(s, e)).alias("_month"), start, end, *keep)
-    parallelism = bounds.sparkSession.sparkContext.defaultParallelism
-    months = months.repartition(max(1, parallelism))
+    months = months.repartition(max(1, default_parallelism(bounds.sparkSession)))
     first = F.greatest(F.col("_month"), s)
     last = F.least(F.last_day(F.col("_month")), e)
     return months.select(F.explode(day_sequence(first, last)).alias(name), *keep)
