@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
                        help="<table>=<view name> to rename a published view, repeatable")
     build.add_argument("--database", default=None,
                        help="create persistent views in this database (created if missing)")
+    build.add_argument("--partition", action="append", default=[],
+                       help="<table>=<col>[,<col>...] to write a table partitioned, repeatable")
     build.add_argument("--master", default=None)
     build.add_argument("--shuffle-partitions", type=int, default=None)
     args = parser.parse_args(argv)
@@ -54,11 +56,13 @@ def main(argv: list[str] | None = None) -> int:
     else:
         mp = Marketplace.from_raw(spark, _parse_raw(args.raw))
     views = dict(v.split("=", 1) for v in args.view)
+    parts = {t: c.split(",") for t, c in (p.split("=", 1) for p in args.partition)}
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
         spark.catalog.setCurrentDatabase(args.database)
     published = build_mart(spark, mp, args.out, fmt=args.format, months_ahead=args.months_ahead,
-                           version=args.version, view_names=views, temp_views=not args.database)
+                           version=args.version, view_names=views, temp_views=not args.database,
+                           partition_by=parts)
     print(json.dumps({"paths": published.paths, "views": published.views}))
     return 0
 

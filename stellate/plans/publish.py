@@ -27,7 +27,15 @@ def write_table(
 
     ``fmt`` is any data source Spark knows (``parquet``; ``delta`` when its
     package is on the classpath). Each write is one job over its own lineage.
+
+    With ``partition_by`` the rows are first rebalanced on the partition
+    columns (Spark's ``rebalance`` hint): each output directory is written by
+    few tasks instead of every task writing a small file into every directory,
+    and AQE splits a value holding a large share of the rows over several
+    tasks rather than one.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -124,3 +124,25 @@ def test_view_names_and_database(spark, out_dir):
         for v in ("vw_fact_sales", "vw_dim_calendar2", "vw_dim_payments", "vw_dim_customer1"):
             spark.sql(f"DROP VIEW IF EXISTS stellate_bi.{v}")
         spark.sql("USE default")
+
+
+def test_partitioned_fact_is_rebalanced_and_reads_back(spark, out_dir):
+    import contextlib
+    import io
+
+    mp = marketplace(spark)
+    pub = build_mart(spark, mp, f"{out_dir}/parts", months_ahead=12, partition_by={"fact": ["order_status"]})
+    fact = read_back(spark, pub.paths["fact"])
+    assert fact.count() == 4
+    assert sorted(r["order_status"] for r in fact.select("order_status").distinct().collect()) == [
+        "delivered", "shipped"]
+    # a filter on the partition column prunes directories
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        fact.where("order_status = 'shipped'").explain()
+    assert "PartitionFilters: [isnotnull(order_status" in buf.getvalue()
+    df = mart.dim_payments(mp.order_payments)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.hint("rebalance", "payment_type").explain()
+    assert "RebalancePartitions" in buf.getvalue() or "REBALANCE" in buf.getvalue()
