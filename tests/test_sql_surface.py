@@ -95,3 +95,12 @@ def test_from_raw_paths(spark, out_dir):
     fact = mart.build_fact(raw.order_payments, mart.dim_payments(raw.order_payments),
                            mart.order_customer(raw.orders, mart.dim_customer(raw.customers)))
     assert fact.count() == 4
+
+
+def test_view_over_the_generated_spine(spark):
+    from stellate.sources import date_spine
+
+    date_spine(spark, "2016-01-01", "2023-12-31").createOrReplaceTempView("dates")
+    assert spark.sql("SELECT * FROM dates").count() == 2922
+    first = spark.sql("SELECT * FROM dates ORDER BY calendarDate LIMIT 20").collect()
+    assert len(first) == 20 and str(first[0][0]) == "2016-01-01"
