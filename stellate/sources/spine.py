@@ -19,6 +19,9 @@ def day_sequence(start: Column, end: Column) -> Column:
     ).otherwise(F.array().cast("array<date>"))
 
 
+MAX_SPINE_TASKS = 64
+
+
 def month_sequence(start: Column, end: Column) -> Column:
     """First days of every month touching [start, end]; empty when end < start."""
     return F.when(
@@ -38,14 +41,16 @@ def spine_from_bounds(
     function of the data volume.
 
     Generation is spread out: the range is first cut into one row per month,
-    the months are dealt round-robin over the cluster's default parallelism,
-    and each task expands its own months into days. No task builds the whole
-    range.
+    the months are dealt round-robin over up to ``MAX_SPINE_TASKS`` tasks
+    (the cluster's default parallelism when smaller), and each task expands
+    its own months into days. No task builds the whole range.
     """
     keep = keep or []
     s, e = F.col(start), F.col(end)
     months = bounds.select(F.explode(month_sequence(s, e)).alias("_month"), start, end, *keep)
-    months = months.repartition(max(1, default_parallelism(bounds.sparkSession)))
+    # a calendar has at most a few hundred months: spread them, but never over
+    # thousands of mostly empty tasks on a large cluster
+    months = months.repartition(max(1, min(MAX_SPINE_TASKS, default_parallelism(bounds.sparkSession))))
     first = F.greatest(F.col("_month"), s)
     last = F.least(F.last_day(F.col("_month")), e)
     return months.select(F.explode(day_sequence(first, last)).alias(name), *keep)
