@@ -113,6 +113,7 @@ FIELDS = (
     "order_items",
     "sellers",
 )
+OPTIONAL = ("order_reviews",)
 
 
 class Marketplace:
@@ -124,7 +125,7 @@ class Marketplace:
 
     def __init__(self, **tables):
         missing = set(FIELDS) - set(tables)
-        extra = set(tables) - set(FIELDS)
+        extra = set(tables) - set(FIELDS) - set(OPTIONAL)
         if missing or extra:
             raise TypeError(f"missing {sorted(missing)}, unknown {sorted(extra)}")
         self._sources = dict(tables)
@@ -146,6 +147,11 @@ class Marketplace:
     order_items = property(lambda self: self._get("order_items"))
     sellers = property(lambda self: self._get("sellers"))
 
+    @property
+    def order_reviews(self) -> DataFrame | None:
+        """The review extract when one was given (None on the driver tables)."""
+        return self._get("order_reviews") if "order_reviews" in self._sources else None
+
     @classmethod
     def from_driver(cls, spark: SparkSession, root: str) -> "Marketplace":
         cache: dict[str, DataFrame] = {}
@@ -222,7 +228,8 @@ class Marketplace:
 
         View names: customers, geolocation, orders, payments (also
         order_payments), products, product_category_name_translation,
-        order_items, sellers and, when given, order_reviews. Returns
+        order_items, sellers and order_reviews (given here or held by the
+        marketplace). Returns
         {view name: table}. Views are names for the lazy plans; nothing is
         materialised.
         """
@@ -237,6 +244,7 @@ class Marketplace:
             "order_items": self.order_items,
             "sellers": self.sellers,
         }
+        reviews = reviews if reviews is not None else self.order_reviews
         if reviews is not None:
             views["order_reviews"] = reviews
         for name, df in views.items():
@@ -263,4 +271,5 @@ class Marketplace:
             geolocation=scan("geolocation"),
             order_items=scan("order_items"),
             sellers=scan("sellers"),
+            **({"order_reviews": scan("order_reviews")} if "order_reviews" in paths else {}),
         )

@@ -91,7 +91,13 @@ def test_from_raw_paths(spark, out_dir):
     }.items():
         paths[name] = f"{out_dir}/{name}.parquet"
         df.write.parquet(paths[name])
+    reviews(spark).write.parquet(f"{out_dir}/order_reviews.parquet")
+    paths["order_reviews"] = f"{out_dir}/order_reviews.parquet"
     raw = Marketplace.from_raw(spark, paths)
+    assert raw.order_reviews.count() == 7
+    raw.register_views(spark)
+    assert spark.sql("select review_id, count(*) c from order_reviews group by review_id having c > 1").count() == 3
+    assert Marketplace.from_driver(spark, "/root/testdata/sf0.001").order_reviews is None
     fact = mart.build_fact(raw.order_payments, mart.dim_payments(raw.order_payments),
                            mart.order_customer(raw.orders, mart.dim_customer(raw.customers)))
     assert fact.count() == 4
