@@ -15,6 +15,7 @@ from stellate.functions.calendar import calendar_columns, calendar_end
 from stellate.functions.keys import dense_key
 from stellate.operators.broadcast import broadcast_if_small
 from stellate.operators.dims import distinct_dim, translate
+from stellate.operators.quality import duplicate_rows
 from stellate.sources.spine import spine_from_bounds
 
 # Column names of the marketplace tables the mart reads.
@@ -159,6 +160,24 @@ def reviews_with_order_customer(reviews: DataFrame, order_cust: DataFrame) -> Da
     return reviews.join(order_cust, "order_id", "inner")
 
 
+def duplicate_review_customers(
+    reviews: DataFrame, orders: DataFrame, customers: DataFrame, key: str = "review_id"
+) -> DataFrame:
+    """Reviews whose id repeats, traced to their order's customer and person.
+
+    Columns: ``key``, order_id, customer_id, customer_unique_id, ordered by
+    them. Repeated ids come from a partially aggregated count matched back by
+    join (see ``duplicate_rows``); the two lookups are inner joins on the
+    order and customer keys, so reviews of unknown orders or customers drop.
+    """
+    dups = duplicate_rows(reviews, key, how="join").select(key, "order_id")
+    with_customer = dups.join(orders.select("order_id", "customer_id"), "order_id", "inner")
+    people = customers.select("customer_id", "customer_unique_id")
+    traced = with_customer.join(people, "customer_id", "inner")
+    cols = [key, "order_id", "customer_id", "customer_unique_id"]
+    return traced.select(*cols).orderBy(*cols)
+
+
 def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation: DataFrame) -> DataFrame:
     """Orders, their customer and the customer's zip location, one row per order.
 
@@ -280,6 +299,7 @@ __all__ = [
     "dim_customer_slim_sql",
     "dim_geolocation",
     "dim_payments",
+    "duplicate_review_customers",
     "geolocation_per_zip",
     "order_customer",
     "orders_with_geolocation",

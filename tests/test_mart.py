@@ -145,3 +145,15 @@ def test_fact_with_a_hot_order_is_complete(spark):
     assert fact.count() == n
     assert fact.where("order_id = 'hot'").count() == n // 3
     assert fact.agg(F.sum("payment_value")).first()[0] == sum(range(n))
+
+
+def test_duplicate_review_customers(spark):
+    from fixtures import reviews
+
+    mp = marketplace(spark)
+    got = [tuple(r) for r in mart.duplicate_review_customers(
+        reviews(spark), mp.orders, mart.dim_customer(mp.customers)).collect()]
+    # r1 sits on o1 (c1/u1) and o2 (c2/u2); r2's two identical rows both trace to o3 (c3/u3);
+    # the NULL review ids never match the join
+    assert got == [("r1", "o1", "c1", "u1"), ("r1", "o2", "c2", "u2"),
+                   ("r2", "o3", "c3", "u3"), ("r2", "o3", "c3", "u3")]
