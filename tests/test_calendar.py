@@ -206,3 +206,12 @@ def test_random_dates_match_model(spark):
         expect = model(row["date"], as_of)
         bad += [(row["date"], k, row[k], v) for k, v in expect.items() if row[k] != v]
     assert not bad, bad[:10]
+
+
+def test_calendar_of_no_data_is_empty(spark):
+    empty = spark.createDataFrame([], "order_purchase_timestamp timestamp")
+    nulls = spark.createDataFrame([(None,), (None,)], "order_purchase_timestamp timestamp")
+    for df in (empty, nulls):
+        assert mart.calendar_for(df, "order_purchase_timestamp").count() == 0
+        assert mart.calendar_years_for(df, "order_purchase_timestamp").count() == 0
+        assert mart.spine_of(df, "order_purchase_timestamp").count() == 0
