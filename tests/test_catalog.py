@@ -111,3 +111,11 @@ def test_fact_plan_without_static_broadcasts(spark):
     assert "hashpartitioning(payment_type" not in plan
     assert "hashpartitioning(c_nationkey" not in plan and "hashpartitioning(_nk" not in plan
     assert "hashpartitioning(order_id" in plan
+
+
+def test_published_samples_survive_later_publishes(spark):
+    """Build every published sample first, publish again, then collect them all."""
+    held = {n: QUERIES[n](spark, SMOKE) for n in sorted(QUERIES) if n.startswith("published_")}
+    QUERIES["published_fact_sample"](spark, SMOKE)  # overwrites dim_payments and fact
+    for name, df in held.items():
+        assert 0 < df.count() <= 5, name
