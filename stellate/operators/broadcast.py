@@ -60,15 +60,23 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     return int(rows), int(rows) * fixed + int(var_bytes or 0)
 
 
-def broadcast_if_small(
+def measure_side(
     df: DataFrame,
     max_rows: int = DEFAULT_MAX_ROWS,
     max_bytes: int = DEFAULT_MAX_BYTES,
-) -> DataFrame:
-    """Checkpoint ``df``; return it with a broadcast hint if it is within bounds."""
+) -> tuple[DataFrame, bool]:
+    """Checkpoint ``df`` and say whether it fits the broadcast bounds."""
     ensure_checkpoint_dir(df.sparkSession)
     frozen = df.checkpoint(eager=True)
     rows, size = measured_size(frozen)
-    if rows <= max_rows and size <= max_bytes:
-        return F.broadcast(frozen)
-    return frozen
+    return frozen, rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_ROWS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+) -> DataFrame:
+    """Checkpoint ``df``; return it with a broadcast hint if it is within bounds."""
+    frozen, fits = measure_side(df, max_rows, max_bytes)
+    return F.broadcast(frozen) if fits else frozen

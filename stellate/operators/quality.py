@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stellate.operators.skew import join_to_keys
+
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -62,30 +64,28 @@ def duplicate_rows(
     keys: str | Sequence[str],
     how: str = "semi",
     order_by: Sequence[str] | None = None,
+    **skew_options,
 ) -> DataFrame:
     """Every full row whose key value occurs more than once.
 
-    The repeated keys are found by a partially-aggregated ``group by`` and the
-    rows are matched back with a join on the key. ``how='semi'`` is the
-    ``where key in (subquery)`` form (left semi join), ``how='join'`` the
-    inner join to the derived table; both drop NULL keys because equality
-    never holds for NULL. A skewed key only lengthens its share of the probe
-    side, which AQE's skew handling splits; nothing collects a group.
+    The repeated keys and their counts come from a partially aggregated
+    ``group by``; the rows are matched back with ``join_to_keys``.
+    ``how='semi'`` is the ``where key in (subquery)`` form (left semi join),
+    ``how='join'`` the inner join to the derived table; both drop NULL keys
+    because equality never holds for NULL. The key set is broadcast when it
+    fits; otherwise hot keys are salted over several tasks (see
+    ``stellate.operators.skew``), so no task receives a whole hot key.
+    ``skew_options`` pass through to ``join_to_keys``.
 
     ``order_by`` sorts the result (a global range sort). Give a total order
     (the key followed by tie-breakers) so a hot key is split over several
     range partitions instead of landing in one.
     """
     keys = _cols(keys)
-    if how == "semi":
-        out = df.join(duplicate_key_values(df, keys), keys, "left_semi")
-    elif how == "join":
-        dups = duplicate_key_values(df, keys)
-        out = df.alias("r_orig").join(dups.alias("dupl"), keys, "inner").select("r_orig.*")
-        # the using-join puts keys first; restore the input column order
-        out = out.select(*df.columns)
-    else:
+    if how not in ("semi", "join"):
         raise ValueError(f"how must be 'semi' or 'join', not {how!r}")
+    counts = duplicate_keys(df, keys, count_col="_n")
+    out = join_to_keys(df, counts, keys, "left_semi" if how == "semi" else "inner", **skew_options)
     if order_by:
         out = out.orderBy(*order_by)
     return out

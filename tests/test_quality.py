@@ -19,6 +19,16 @@ from stellate.operators import (
 )
 
 
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -105,3 +115,40 @@ def test_lookup(spark):
     assert lookup(rv, review_id="r1").count() == 2
     assert lookup(rv, review_id="r1", order_id="o2").count() == 1
     assert lookup(rv, review_id="nope").count() == 0
+
+
+def test_hot_key_in_duplicate_rows_is_spread(spark):
+    """A key with a third of the rows never lands in one task.
+
+    Within the bound the key set is broadcast (no shuffle of the rows); beyond
+    it the hot key is salted over many partitions. Both give every row.
+    """
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50000).alias("k"),
+        F.col("id").alias("v"),
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("semi", "join"):
+            small = duplicate_rows(df, "k", how=how)
+            plan = _plan(small)
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+            assert small.count() == n
+
+            salted = duplicate_rows(df, "k", how=how, max_rows=10, hot_rows=10_000)
+            plan = _plan(salted)
+            assert "hashpartitioning(k#" in plan and "_stellate_salt" in plan
+            assert salted.count() == n
+            assert salted.agg(F.sum("v")).first()[0] == n * (n - 1) // 2
+            # where the hot key's rows sit after the join (coalescing off, so the
+            # join's own partitions are seen, not AQE's merge of small ones)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            per_task = (salted.withColumn("p", F.spark_partition_id()).where("k = -1")
+                        .groupBy("p").count().agg(F.count(F.lit(1)), F.max("count")).first())
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+            assert per_task[0] >= 4, per_task          # spread over several tasks
+            assert per_task[1] < n // 3, per_task     # no task holds the whole hot key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
