@@ -32,3 +32,8 @@ __all__ = [
 from stellate.operators.broadcast import broadcast_if_small, measured_size  # noqa: E402
 
 __all__ += ["broadcast_if_small", "measured_size"]
+
+from stellate.operators.order import ordered  # noqa: E402
+from stellate.operators.skew import join_to_keys  # noqa: E402
+
+__all__ += ["join_to_keys", "ordered"]

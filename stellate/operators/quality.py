@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stellate.operators.order import ordered
 from stellate.operators.skew import join_to_keys
 
 
@@ -77,9 +78,9 @@ def duplicate_rows(
     ``stellate.operators.skew``), so no task receives a whole hot key.
     ``skew_options`` pass through to ``join_to_keys``.
 
-    ``order_by`` sorts the result (a global range sort). Give a total order
-    (the key followed by tie-breakers) so a hot key is split over several
-    range partitions instead of landing in one.
+    ``order_by`` sorts the result (a global range sort, see
+    ``operators.order.ordered``: rows equal in every sort key are still spread
+    over several range partitions).
     """
     keys = _cols(keys)
     if how not in ("semi", "join"):
@@ -87,7 +88,7 @@ def duplicate_rows(
     counts = duplicate_keys(df, keys, count_col="_n")
     out = join_to_keys(df, counts, keys, "left_semi" if how == "semi" else "inner", **skew_options)
     if order_by:
-        out = out.orderBy(*order_by)
+        out = ordered(out, order_by)
     return out
 
 

@@ -15,6 +15,7 @@ from stellate.functions.calendar import calendar_columns, calendar_end
 from stellate.functions.keys import dense_key
 from stellate.operators.broadcast import broadcast_if_small
 from stellate.operators.dims import distinct_dim, translate
+from stellate.operators.order import ordered
 from stellate.operators.quality import duplicate_rows
 from stellate.sources.spine import spine_from_bounds
 
@@ -175,7 +176,7 @@ def duplicate_review_customers(
     people = customers.select("customer_id", "customer_unique_id")
     traced = with_customer.join(people, "customer_id", "inner")
     cols = [key, "order_id", "customer_id", "customer_unique_id"]
-    return traced.select(*cols).orderBy(*cols)
+    return ordered(traced.select(*cols), cols)
 
 
 def orders_with_geolocation(orders: DataFrame, customers: DataFrame, geolocation: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Audits: duplicate keys / rows, whole-row duplicates, counts, profiles, lookups."""
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -152,3 +153,20 @@ def test_hot_key_in_duplicate_rows_is_spread(spark):
             assert per_task[1] < n // 3, per_task     # no task holds the whole hot key
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sort_spreads_rows_equal_in_every_key(spark):
+    from stellate.operators import ordered
+
+    n = 200_000
+    # a third of the rows are copies of one row
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = ordered(df, ["k"]).withColumn("p", F.spark_partition_id())
+        rows = out.collect()
+        assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)  # still ordered by k
+        hot = Counter(r["p"] for r in rows if r["k"] == -1)
+        assert len(hot) >= 2 and max(hot.values()) < n // 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
