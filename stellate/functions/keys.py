@@ -45,7 +45,10 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
     The two uses of the ranged frame share one exchange (Spark reuses it).
     Ordering on the remaining columns after ``order_by`` makes ties
     deterministic and lets the range partitioner split a key shared by many
-    rows over several tasks.
+    rows over several tasks. The whole order must stay deterministic: the
+    counts and the keyed rows must see the same range partitions, which they
+    do by sharing one exchange. Meant for distinct rows (dimensions); exact
+    copies of one row stay together in one range partition.
     """
     mid = "_stellate_mid"
     pid = "_stellate_pid"
