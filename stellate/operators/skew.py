@@ -15,10 +15,16 @@ on the key, so that split never applies.
    aggregate that found the keys) get ``ceil(n / hot_rows)`` salts each, at
    most ``max_salts``. Only the ``max_hot_keys`` hottest are taken, which also
    bounds the table, and it is broadcast after measuring. Each large-side row
-   of a hot key draws one salt at random; the key side carries every salt of
-   its key, so any draw finds its match and the result is exact. Cold keys
-   keep salt 0. The join on (key, salt) spreads a hot key over many tasks, and
-   both inputs are ordinary shuffles, so AQE can split further.
+   of a hot key takes the salt ``hash(row) mod salts``; the key side carries
+   every salt of its key, so every row finds its match and the result is
+   exact. Cold keys keep salt 0. The join on (key, salt) spreads a hot key
+   over many tasks, and both inputs are ordinary shuffles, so AQE can split
+   further.
+
+The salt is a hash of the row, not a random draw, so a task re-run after a
+lost executor routes each row exactly as the first attempt did. Exact copies
+of one row therefore share a salt. That only matters in step 2, when the key
+set is too big to broadcast.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from stellate.operators.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, measure_side
 
@@ -75,11 +82,12 @@ def join_to_keys(
     hot, _ = measure_side(hot, max_hot_keys, max_bytes)
     hot = F.broadcast(hot)  # at most max_hot_keys rows of (keys, int)
 
+    # the salt must be a function of the row: a re-run task (lost executor)
+    # has to send every row to the same reducer as the first attempt did
+    row_hash = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)])
     salted_rows = df.join(hot, keys, "left").withColumn(
         SALT,
-        F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
-            F.floor(F.rand(17) * F.col(SALTS)).cast("int")
-        ),
+        F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col(SALTS)).cast("int")),
     )
     salted_keys = key_set.join(hot, keys, "left").select(
         *keys,

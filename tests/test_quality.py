@@ -155,17 +155,19 @@ def test_hot_key_in_duplicate_rows_is_spread(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_sort_spreads_rows_equal_in_every_key(spark):
+def test_sort_spreads_a_hot_sort_key(spark):
     from stellate.operators import ordered
 
     n = 200_000
-    # a third of the rows are copies of one row
-    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    # a third of the rows share one value of the sort key (their other column differs)
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         out = ordered(df, ["k"]).withColumn("p", F.spark_partition_id())
         rows = out.collect()
         assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)  # still ordered by k
+        assert len(rows) == n
         hot = Counter(r["p"] for r in rows if r["k"] == -1)
         assert len(hot) >= 2 and max(hot.values()) < n // 3
     finally:
