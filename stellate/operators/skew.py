@@ -70,17 +70,21 @@ def join_to_keys(
     if fits:
         return df.join(F.broadcast(key_set), keys, how).select(*df.columns)
 
-    hot = (
-        key_counts.where(F.col(count_col) > hot_rows)
-        .orderBy(F.col(count_col).desc())
-        .limit(max_hot_keys)  # which keys get salted; cold keys still join, unsalted
-        .select(
-            *keys,
-            F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(max_salts)).cast("int").alias(SALTS),
-        )
+    hot_keys = key_counts.where(F.col(count_col) > hot_rows).select(
+        *keys,
+        F.col(count_col),
+        F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(max_salts)).cast("int").alias(SALTS),
     )
-    hot, _ = measure_side(hot, max_hot_keys, max_bytes)
-    hot = F.broadcast(hot)  # at most max_hot_keys rows of (keys, int)
+    limit = max_hot_keys
+    while True:
+        # the hottest keys get salted; every other key still joins, unsalted
+        hot, fits = measure_side(
+            hot_keys.orderBy(F.col(count_col).desc()).limit(limit).select(*keys, SALTS), limit, max_bytes
+        )
+        if fits or limit == 1:
+            break
+        limit = max(1, limit // 10)  # very wide keys: salt fewer of them
+    hot = F.broadcast(hot)  # at most `limit` rows, measured
 
     # the salt must be a function of the row: a re-run task (lost executor)
     # has to send every row to the same reducer as the first attempt did
