@@ -39,7 +39,7 @@ from stellate.operators.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, me
 
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_MAX_SALTS = 512
+DEFAULT_MAX_SALTS = 4096  # key side grows by at most max_hot_keys x max_salts small rows
 SALT = "_stellate_salt"
 SALTS = "_stellate_salts"
 
