@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from stellate.session import ensure_checkpoint_dir
+
 
 def _sort_cols(cols: list[str]) -> list[Column]:
     # Ascending with NULLs first, as ORDER BY does by default in Spark SQL.
@@ -47,8 +49,11 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
     deterministic and lets the range partitioner split a key shared by many
     rows over several tasks. The whole order must stay deterministic: the
     counts and the keyed rows must see the same range partitions, which they
-    do by sharing one exchange. Meant for distinct rows (dimensions); exact
-    copies of one row stay together in one range partition.
+    do by sharing one exchange. A session with exchange reuse turned off
+    would sample range bounds twice, from rows that arrive in no fixed order,
+    so there the ranged frame is checkpointed once (to the shared checkpoint
+    folder) and both uses read it. Meant for distinct rows (dimensions);
+    exact copies of one row stay together in one range partition.
     """
     mid = "_stellate_mid"
     pid = "_stellate_pid"
@@ -59,6 +64,10 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
         .withColumn(mid, F.monotonically_increasing_id())
         .withColumn(pid, F.shiftright(F.col(mid), 33))
     )
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(

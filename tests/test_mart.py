@@ -29,6 +29,32 @@ def test_dense_key_stable_across_layouts(spark):
     assert a == b
 
 
+def _executed(df):
+    df.collect()  # finalises this frame's adaptive plan
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_dense_key_counts_and_rows_share_one_range_exchange(spark):
+    # the offsets are only right if both uses see the same range partitions
+    base = spark.range(3000).select(F.format_string("%05d", (F.col("id") * 17) % 3000).alias("k"))
+    got = dense_key(base.repartition(7), ["k"], "sk")
+    plan = _executed(got)
+    assert "ReusedExchange" in plan
+    assert plan.count("+- Exchange rangepartitioning") == 1  # one range shuffle, read twice
+
+
+def test_dense_key_without_exchange_reuse(spark):
+    base = spark.range(3000).select(F.format_string("%05d", (F.col("id") * 17) % 3000).alias("k"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = dense_key(base.repartition(7), ["k"], "sk")
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert sorted(r["sk"] for r in rows) == list(range(1, 3001))
+    assert all(int(r["k"]) + 1 == r["sk"] for r in rows)
+
+
 def test_hash_key_is_stable(spark):
     df = spark.createDataFrame([("a",), ("b",)], "k string")
     one = _rows(df.select("k", hash_key("k").alias("h")))
