@@ -15,7 +15,7 @@ import json
 import sys
 
 from stellate.plans.build import build_mart
-from stellate.session import get_session
+from stellate.session import get_session, size_shuffle_partitions
 from stellate.sources.marketplace import RAW_TABLES, Marketplace
 
 
@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--partition", action="append", default=[],
                        help="<table>=<col>[,<col>...] to write a table partitioned, repeatable")
     build.add_argument("--master", default=None)
-    build.add_argument("--shuffle-partitions", type=int, default=None)
+    build.add_argument("--shuffle-partitions", type=int, default=None,
+                       help="fixed shuffle partition count; by default sized from the input bytes")
     args = parser.parse_args(argv)
 
     spark = get_session(args.master, app_name="stellate-build", shuffle_partitions=args.shuffle_partitions)
@@ -55,6 +56,9 @@ def main(argv: list[str] | None = None) -> int:
         mp = Marketplace.from_driver(spark, args.driver_root)
     else:
         mp = Marketplace.from_raw(spark, _parse_raw(args.raw))
+    if args.shuffle_partitions is None:
+        # size the shuffles from the fact's inputs, unless the launcher did
+        size_shuffle_partitions(spark, [mp.order_payments, mp.orders, mp.customers])
     views = dict(v.split("=", 1) for v in args.view)
     parts = {t: c.split(",") for t, c in (p.split("=", 1) for p in args.partition)}
     if args.database:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every stellate job relies on. Adaptive execution does the runtime
 # re-planning (coalescing small shuffle partitions, turning a join into a
@@ -93,3 +93,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         os.makedirs(target[len("file:"):], exist_ok=True)
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_INITIAL_PARTITIONS = 65536
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes of the sources ``df`` reads: the sum over its plan's leaf scans.
+
+    A file scan's estimate is its size on disk. Estimates above the leaves
+    are not used: without cost-based statistics a join's estimate is the
+    product of its inputs'.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
+
+
+def size_shuffle_partitions(
+    spark: SparkSession,
+    inputs: list[DataFrame],
+    target_bytes: int = TARGET_PARTITION_BYTES,
+    max_partitions: int = MAX_INITIAL_PARTITIONS,
+) -> int:
+    """Start adaptive execution's shuffles with enough partitions for the inputs.
+
+    AQE only merges partitions, never splits a too-large one (skew joins
+    aside), so the starting count must be high enough for the largest
+    shuffle: the inputs' size on disk / ``target_bytes``, at least the
+    cluster's parallelism, at most ``max_partitions``. AQE then coalesces
+    down to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    Set only when the launcher has not set the starting count itself; returns
+    the count in force.
+    """
+    current = spark.conf.get(INITIAL_PARTITIONS, None)
+    if current:
+        return int(current)
+    try:
+        total = sum(plan_bytes(df) for df in inputs)
+    except Exception:  # noqa: BLE001  (Spark Connect: no plan statistics here)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = -(-total // target_bytes)
+    n = max(default_parallelism(spark), min(wanted, max_partitions))
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    return n

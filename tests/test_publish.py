@@ -4,7 +4,14 @@ import pytest
 
 from fixtures import marketplace
 from stellate.plans import MART_VIEWS, build_mart, create_view, mart, publish, read_back, sample_view, write_table
-from stellate.session import ensure_checkpoint_dir, shared_dir
+from stellate.session import (
+    INITIAL_PARTITIONS,
+    default_parallelism,
+    ensure_checkpoint_dir,
+    plan_bytes,
+    shared_dir,
+    size_shuffle_partitions,
+)
 
 
 def _rows(df):
@@ -70,6 +77,25 @@ def test_shared_dir_prefers_checkpoint_dir(spark):
     assert ensure_checkpoint_dir(spark)
 
 
+def test_shuffle_partitions_sized_from_input_bytes(spark):
+    from conftest import SMALL
+    from stellate.sources.marketplace import Marketplace
+
+    mp = Marketplace.from_driver(spark, SMALL)
+    inputs = [mp.order_payments, mp.orders, mp.customers]
+    total = sum(plan_bytes(df) for df in inputs)
+    assert total > 0
+    try:
+        n = size_shuffle_partitions(spark, inputs, target_bytes=64 * 1024, max_partitions=1000)
+        assert n == max(default_parallelism(spark), min(-(-total // (64 * 1024)), 1000))
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
+        # a count the launcher (or an earlier call) set is left as it is
+        assert size_shuffle_partitions(spark, inputs, target_bytes=1) == n
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
 def test_versioned_publish_switches_views_after_all_writes(spark, out_dir):
     mp = marketplace(spark)
     first = build_mart(spark, mp, f"{out_dir}/vm", months_ahead=12, version="r1")
@@ -101,8 +127,13 @@ def test_command_line_build(spark, out_dir):
     from stellate.__main__ import main
 
     buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        assert main(["build", "--driver-root", SMOKE, "--out", f"{out_dir}/cli"]) == 0
+    try:
+        with contextlib.redirect_stdout(buf):
+            assert main(["build", "--driver-root", SMOKE, "--out", f"{out_dir}/cli"]) == 0
+        # no launcher setting: the shuffles start sized from the input bytes
+        assert int(spark.conf.get(INITIAL_PARTITIONS)) >= 1
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
     out = json.loads(buf.getvalue().strip().splitlines()[-1])
     assert set(out["paths"]) == {"dim_payments", "dim_customer1", "dim_calendar", "fact"}
     fact = read_back(spark, out["paths"]["fact"])
