@@ -121,16 +121,12 @@ class Codec:
         return b"".join(map(self.table.__getitem__, ids))
 
 
-_open: dict[int, Codec] = {}
-
-
-def _codec(bc) -> Codec:
-    """The worker's opened codec; the broadcast value is opened once per worker."""
-    codec = bc.value
-    if id(codec) not in _open:
-        _open.clear()
-        _open[id(codec)] = codec.open()
-    return _open[id(codec)]
+def _codec(shared) -> Codec:
+    """The worker's codec, opened once and kept beside the broadcast parts."""
+    parts = shared.value
+    if "codec" not in parts:
+        parts["codec"] = Codec(*parts["parts"]).open()
+    return parts["codec"]
 
 
 class ByteBpe:
@@ -148,8 +144,8 @@ class ByteBpe:
             pattern = public_tokenizers.PATTERN
         ranks = read_ranks(path)
         tokens = sorted(ranks, key=ranks.get)
-        codec = Codec(model_proto(ranks), pattern, [ranks[t] for t in tokens], tokens)
-        self.shared = spark.sparkContext.broadcast(codec)
+        parts = (model_proto(ranks), pattern, [ranks[t] for t in tokens], tokens)
+        self.shared = spark.sparkContext.broadcast({"parts": parts})
 
     def encode(self, df: DataFrame, text: str = "text", ids: str = "input_ids") -> DataFrame:
         """Add ``ids`` array<int>: the token ids of the whole text."""

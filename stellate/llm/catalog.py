@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import bpe, decontam, minmax, rules, secrets
+from stellate.llm import bpe, decontam, html_tree, minmax, repeats, rules, secrets, warc
 from stellate.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(read(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+@register("op3_recompression_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op4_style_tree_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_tree.main_text(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+WARC_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as x from pages),
+f as (select x, payload_bytes, min(page_id) as first from p group by all)
+select page_id, p.payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((('0x' || substr(p.x, (1 + (i // 4) * 5)::int, 5))::int) >> (15 - 5 * (i % 4))::int) & 31), 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from p join f on p.x = f.x and p.payload_bytes = f.payload_bytes
+"""
+
+
+@register("op7_warc_round_trip", WARC_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,23 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Let a job's shuffle files go as soon as the job has ended."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def freeze(df: DataFrame, name: str = "frame") -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
@@ -35,7 +53,8 @@ def freeze(df: DataFrame, name: str = "frame") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -49,7 +49,8 @@ class Scan:
     min_len: int = 16
     threshold: float = 12.0  # nats
     prior: float = 0.5  # added to every cell
-    join_share: float = 0.02  # of letters in identifiers that a joiner follows
+    join_share: float = 0.02  # of letters in identifiers that a joiner follows, and a digit
+    number_weight: float = 1e4  # of each pair of digits among ordinary identifiers
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
@@ -157,6 +158,15 @@ def ratio_table(random: dict[int, float], ordinary: dict[int, float], scan: Scan
     for j in map(ord, "-_/"):
         for b, n in starts.items():
             joined[j * CODES + b] = n
+    digits = range(ord("0"), ord("9") + 1)
+    for a in map(ord, ALPHABET):  # and may hold numbers, whose digits are alike
+        total = sum(both.get(a * CODES + ord(b), 0.0) for b in ALPHABET)
+        for b in digits:
+            joined[a * CODES + b] = total * scan.join_share / 10
+    if both:
+        for a in [0, *digits]:
+            for b in digits:
+                joined[a * CODES + b] = scan.number_weight
     for cell, n in joined.items():
         both[cell] = both.get(cell, 0.0) + n
 
