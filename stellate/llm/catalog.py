@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import bpe, decontam, html_tree, minmax, repeats, rules, secrets, warc
+from stellate.llm import bpe, crf, decontam, html_tree, minmax, repeats, rules, secrets, toxicity, warc
 from stellate.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,25 @@ from p join f on p.x = f.x and p.payload_bytes = f.payload_bytes
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(read(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _scored(scored: DataFrame, held_out, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+@register("op9_crf_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crf.fold(F.col("doc_id"), 4) == 2
+    labels = read(spark, sf_dir, "labels").where(~held_out)
+    return _scored(crf.score(docs, crf.train(docs, labels)), held_out, 0.7)
+
+
+@register("op10_noisy_channel_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crf.fold(F.col("doc_id"), 5) == 0
+    labels = read(spark, sf_dir, "labels").where(~held_out)
+    return _scored(toxicity.score(docs, toxicity.train(docs, labels)), held_out, 0.5)
