@@ -47,7 +47,7 @@ class Settings:
     bands: int = 24
     rows: int = 4  # signature entries per band: two per permutation
     seed: int = 7
-    block_docs: int = 512  # documents of a candidate group in one block
+    block_docs: int = 256  # documents of a candidate group in one block
     block_shingles: int = 1_000_000  # shingles in one block
 
 

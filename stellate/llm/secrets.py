@@ -53,38 +53,56 @@ class Scan:
     number_weight: float = 1e4  # of each pair of digits among ordinary identifiers
 
 
-def _spans(text: Column, pattern: str, kind: int) -> Column:
-    """array<SPAN> of all matches of ``pattern``, leftmost and non-overlapping."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _locate(df: DataFrame, text: Column, patterns: dict[str, tuple[str, int]]) -> DataFrame:
+    """Add a column array<SPAN> of all matches, leftmost and non-overlapping, for each (pattern, kind).
+
+    Each step is a projection of its own, so that a text is searched once
+    however often its matches are referred to.
+    """
     none = F.array().cast(f"array<{SPAN}>")
-    # gaps between matches and the matches themselves alternate, so their lengths give the places
-    pairs = F.zip_with(
-        F.slice(F.split(text, pattern, -1), 1, F.size(found)),
-        found,
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("len"), m.alias("v")),
-    )
+    m, q, b = (lambda n, k=k: f"_{k}_{n}" for k in "mqb")
+    df = df.withColumns({m(n): F.regexp_extract_all(text, F.lit(p), F.lit(0)) for n, (p, _) in patterns.items()})
 
-    def placed(block: Column, at: Column) -> Column:
-        zero = F.struct(at.alias("at"), none.alias("out"))
+    def pairs(n: str, pattern: str) -> Column:
+        # gaps between matches and the matches themselves alternate, so their lengths give the places
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(m(n)))
+        both = F.zip_with(
+            gaps, m(n), lambda gap, x: F.struct(F.length(gap).alias("gap"), F.length(x).alias("len"), x.alias("v"))
+        )
+        return F.when(F.size(m(n)) > 0, both)
 
-        def step(acc: Column, x: Column) -> Column:
-            s = acc["at"] + x["gap"]
-            e = s + x["len"]
-            one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), x["v"].alias("v"))
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    df = df.withColumns({q(n): pairs(n, p) for n, (p, _) in patterns.items()})
 
-        return F.aggregate(block, zero, step, lambda acc: acc["out"])
+    def blocks(n: str) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(q(n)) - 1) / BLOCK).cast("int"))
+        return F.when(F.col(q(n)).isNotNull(), F.transform(at, lambda i: F.slice(q(n), i * BLOCK + 1, F.lit(BLOCK))))
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
-        lambda b: F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK)),
-    )
-    ends = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x["gap"] + x["len"]))
-    starts = F.aggregate(
-        ends, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))
-    )
-    every = F.flatten(F.zip_with(blocks, F.slice(starts, 1, F.size(blocks)), placed))
-    return F.when(F.size(found) > 0, every).otherwise(none)
+    df = df.withColumns({b(n): blocks(n) for n in patterns})
+
+    def spans(n: str, kind: int) -> Column:
+        def size(block: Column) -> Column:
+            return F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + x["len"])
+
+        starts = F.aggregate(
+            b(n), F.array(F.lit(0)), lambda a, block: F.concat(a, F.array(F.element_at(a, -1) + size(block)))
+        )
+
+        def placed(block: Column, at: Column) -> Column:
+            zero = F.struct(at.alias("at"), none.alias("out"))
+
+            def step(acc: Column, x: Column) -> Column:
+                s = acc["at"] + x["gap"]
+                e = s + x["len"]
+                one = F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), x["v"].alias("v"))
+                return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+            return F.aggregate(block, zero, step, lambda acc: acc["out"])
+
+        every = F.flatten(F.zip_with(b(n), F.slice(starts, 1, F.size(b(n))), placed))
+        return F.when(F.col(b(n)).isNotNull(), every).otherwise(none)
+
+    df = df.withColumns({n: spans(n, kind) for n, (_, kind) in patterns.items()})
+    return df.drop(*(f(n) for n in patterns for f in (m, q, b)))
 
 
 def _value(match: Column) -> Column:
@@ -92,15 +110,21 @@ def _value(match: Column) -> Column:
     return F.regexp_extract(match, ASSIGN, 2)
 
 
-def base_spans(text: Column) -> Column:
-    """The spans of the rules: array<SPAN>, by start, then kind."""
-    assign = F.filter(_spans(text, ASSIGN, 0), lambda x: F.length(_value(x["v"])) >= MIN_VALUE)
-    every = F.concat(assign, _spans(text, ACCESS, 1), _spans(text, HEX, 2))
-    order = F.transform(every, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")))
-    return F.transform(
-        F.array_sort(order),
-        lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v")),
+def _by_start(spans: Column) -> Column:
+    """Spans by start, then kind (the struct's fields in this order from now on)."""
+    order = F.transform(
+        spans,
+        lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")),
     )
+    return F.array_sort(order)
+
+
+def with_base(df: DataFrame, text: Column, more: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """Add ``base``, the spans of the rules by start then kind, and the spans of ``more`` patterns."""
+    rules = {"_assign": (ASSIGN, 0), "_access": (ACCESS, 1), "_hex": (HEX, 2)}
+    found = _locate(df, text, rules | (more or {}))
+    assign = F.filter("_assign", lambda x: F.length(_value(x["v"])) >= MIN_VALUE)
+    return found.withColumn("base", _by_start(F.concat(assign, F.col("_access"), F.col("_hex")))).drop(*rules)
 
 
 def _codes(token: Column) -> Column:
@@ -114,21 +138,16 @@ def train(docs: DataFrame, text: str = "text", scan: Scan = Scan()) -> list[floa
     the token's start.
     """
     t = whole(text)
+    found = with_base(docs.select(t.alias("_t")), F.col("_t"))
     values = F.transform(
-        base_spans(t),
-        lambda x: F.when(x["kind"] == 0, _value(x["v"])).otherwise(x["v"]),
+        "base", lambda x: F.struct(F.lit(1).alias("random"), F.when(x["kind"] == 0, _value(x["v"])).otherwise(x["v"]).alias("v"))
+    )
+    ordinary = F.transform(
+        F.regexp_extract_all("_t", F.lit(ORDINARY), F.lit(0)), lambda v: F.struct(F.lit(0).alias("random"), v.alias("v"))
+    )
+    samples = found.select(F.explode(F.concat(values, ordinary)).alias("x")).select(
+        "x.random", F.concat(F.array(F.lit(0)), _codes(F.col("x.v"))).alias("c")
     )
-    samples = docs.select(
-        F.explode(
-            F.concat(
-                F.transform(values, lambda v: F.struct(F.lit(1).alias("random"), v.alias("v"))),
-                F.transform(
-                    F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0)),
-                    lambda v: F.struct(F.lit(0).alias("random"), v.alias("v")),
-                ),
-            )
-        ).alias("x")
-    ).select("x.random", F.concat(F.array(F.lit(0)), _codes(F.col("x.v"))).alias("c"))
     pairs = samples.select("random", "c", F.posexplode(F.slice("c", 2, F.size("c"))).alias("i", "b")).select(
         "random", (F.get("c", F.col("i")) * CODES + F.col("b")).alias("cell")
     )
@@ -201,26 +220,22 @@ def ratio(token: Column, table: list[float]) -> Column:
 
 def find(docs: DataFrame, table: list[float], text: str = "text", scan: Scan = Scan()) -> DataFrame:
     """Add ``base`` and ``spans``: the spans of the rules, and those with the models' added."""
-    t = whole(text)
-    with_base = docs.withColumn("base", base_spans(t))
-    free = F.filter(
-        _spans(t, TOKEN % scan.min_len, 3),
-        lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])),
-    )
+    both = with_base(docs.withColumn("_t", whole(text)), F.col("_t"), {"_tokens": (TOKEN % scan.min_len, 3)})
+    free = F.filter("_tokens", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     extra = F.filter(free, lambda x: ratio(x["v"], table) >= scan.threshold)
-    order = F.transform(
-        F.concat("base", extra),
-        lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")),
+    extra = F.transform(
+        extra, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v"))
     )
-    return with_base.withColumn("spans", F.array_sort(order))
+    return both.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("_tokens", "_t")
 
 
 def as_text(spans: str) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.concat_ws(
-        ",", F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["s"].cast("string"), x["e"].cast("string")))
+    parts = F.transform(
+        spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["s"].cast("string"), x["e"].cast("string"))
     )
+    return F.concat_ws(",", parts)
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", scan: Scan = Scan()) -> DataFrame:

@@ -47,7 +47,7 @@ LOOKS_LIKE = {
 FILLERS = ".-_'*~^`,:;/\\·•#="
 ANY_LETTER = "*#"
 # costs, in nats, of the channel's ways to write a letter
-COST_LOOKS, COST_FILLER, COST_ANY, COST_DROP, COST_RUN = 0.5, 0.7, 2.0, 6.0, 0.3
+COST_LOOKS, COST_FILLER, COST_ANY, COST_DROP, COST_RUN = 0.5, 0.7, 2.0, 15.0, 0.3
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 EDGE = 0  # the language model's mark for a word's edge; letters are 1..26
 SIZE = 27
@@ -81,8 +81,11 @@ class Channel:
         self.model = model.tolist()
         self.max_token = max_token
 
-    def arcs(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each stretch of the token the letters it may stand for, with costs."""
+    def arcs(self, token: str, masked: bool = False) -> list[list[tuple[str, float]]]:
+        """For each stretch of the token the letters it may stand for, with costs.
+
+        ``masked``: signs that may stand for any letter do, and are no fillers.
+        """
         out = []
         at = 0
         while at < len(token):
@@ -104,7 +107,7 @@ class Channel:
                     out.append(ways + [("", COST_DROP)])
                 else:
                     ways = [(x, COST_LOOKS) for x in looks]
-                    if c in FILLERS:
+                    if c in FILLERS and not (masked and c in ANY_LETTER):
                         ways.append(("", COST_FILLER))
                     if c in ANY_LETTER:
                         ways += [(x, COST_ANY) for x in LETTERS]
@@ -114,13 +117,13 @@ class Channel:
             at = end
         return out
 
-    def decode(self, token: str) -> str:
+    def decode(self, token: str, masked: bool = False) -> str:
         """The likeliest word for a lower-case token."""
         if len(token) > self.max_token:
             return token
         model = self.model
         best: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-        for ways in self.arcs(token):
+        for ways in self.arcs(token, masked):
             new: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, text) in best.items():
                 for letters, cost in ways:
@@ -148,6 +151,8 @@ class Channel:
         if len(pieces) > 1:
             out += [p if PLAIN.match(p) and not LONG_RUN.search(p) else self.decode(p) for p in pieces if len(p) > 1]
         out.append(self.decode(core))
+        if any(c in core for c in ANY_LETTER):
+            out.append(self.decode(core, masked=True))
         full = t.rstrip(".,;:?\"')]")  # signs at the edges may be letters
         if full != core and any(c in LOOKS_LIKE for c in full.replace(core, "", 1)):
             out.append(self.decode(full))

@@ -1,0 +1,82 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stellate.llm import repeats
+from llm_texts import prose
+
+
+def brute_force(texts, window=35):
+    split = [(t or "").encode().split() for t in texts]
+    count = Counter(tuple(w[i : i + window]) for w in split for i in range(len(w) - window + 1))
+    out = []
+    for w in split:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if count[tuple(w[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        out.append((len(w), len(gone), b" ".join(x for i, x in enumerate(w) if i not in gone).decode()))
+    return out
+
+
+def test_matches_brute_force(docs):
+    shared = prose(1, 80)
+    texts = [
+        None, "", "short text", prose(2, 300), prose(3, 60) + " " + shared + " " + prose(4, 60),
+        shared + "\n" + prose(5, 40), prose(6, 40) + "\t" + shared, "run " * 500, prose(7, 20) + " run" * 90,
+        prose(8, 34), prose(8, 34), prose(9, 35), prose(9, 35), prose(10, 100) + " " + prose(10, 100),
+        "a b " * 200, "b a " * 40, prose(11, 5000) + " " + shared, prose(2, 300).replace("ka", "xx", 1),
+        "é " * 40 + shared,
+    ]
+    frame = docs([(i, t, "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in repeats.remove_repeats(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_force(texts)
+
+
+def test_repeated_rows_and_null_ids_are_occurrences(docs):
+    t = prose(20, 50)
+    rows = [(1, t, "s"), (1, t, "s"), (None, prose(21, 50), "s"), (None, None, None), (2, prose(22, 50), None)]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in repeats.remove_repeats(docs(rows)).collect())
+    assert got == [(False, 1, 50), (False, 1, 50), (False, 2, 0), (True, 0, 0), (True, 0, 0)]
+
+
+def test_empty_table(docs):
+    assert repeats.remove_repeats(docs([])).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=12, max_size=60), st.integers(0, 30), st.integers(0, 30))
+def test_equal_substrings_get_equal_interior_symbols(words, before, after):
+    """Whatever stands around a passage, symbols decided inside it are the same."""
+    s = repeats.Settings()
+    rng = np.random.default_rng(before * 31 + after)
+    alphabet = rng.integers(1, 1 << 63, 9, dtype=np.uint64)
+
+    def parse(left, right):
+        names = np.concatenate((np.zeros(1, np.uint64), alphabet[left], alphabet[words], alphabet[right], np.zeros(1, np.uint64)))
+        stop = np.zeros(len(names), bool)
+        stop[[0, -1]] = True
+        name, low, high = repeats.recompress(names, stop, s)
+        a = 1 + len(left)
+        inside = (low >= a) & (high <= a + len(words))
+        return list(zip(name[inside].tolist(), (low[inside] - a).tolist(), (high[inside] - a).tolist()))
+
+    one = parse(rng.integers(0, 4, before), rng.integers(0, 4, after))
+    two = parse(rng.integers(0, 9, after), rng.integers(0, 9, before))
+    assert one == two
+
+
+@pytest.mark.parametrize("name", ["op3_recompression_dedup"])
+def test_query_on_a_whole_table(spark, name):
+    import hashlib
+
+    from stellate.llm.catalog import QUERIES
+
+    root = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{root}/documents.parquet").collect()}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES[name](spark, root).collect()}
+    want = brute_force(texts.values())
+    assert got == {i: (a, b, hashlib.sha256(c.encode()).hexdigest()) for i, (a, b, c) in zip(texts, want, strict=True)}
