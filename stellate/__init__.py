@@ -16,8 +16,6 @@ Every step is a DataFrame -> DataFrame function so Catalyst sees one plan:
 * ``stellate.plans``     -- the mart compositions (dims, order_customer, fact),
                             publishing, and the query catalogue used by the
                             driver contract.
-* ``stellate.streaming`` -- empty on purpose: the mart is a batch build
-                            (see README, "Re-aimed or not built").
 """
 
 from stellate.session import get_session, shared_dir

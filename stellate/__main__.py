@@ -14,7 +14,7 @@ import argparse
 import json
 import sys
 
-from stellate.plans.build import build_mart
+from stellate.plans.build import CalendarWindow, build_mart
 from stellate.session import get_session, size_shuffle_partitions
 from stellate.sources.marketplace import RAW_TABLES, Marketplace
 
@@ -39,13 +39,18 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--driver-root", help="folder with the TPC-H style test tables")
     build.add_argument("--format", default="parquet", help="output data source (parquet, delta, ...)")
     build.add_argument("--months-ahead", type=int, default=60)
-    build.add_argument("--version", default=None, help="run id: write to <table>/_v=<id>, switch views at the end")
+    build.add_argument("--version", default=None, help="run id: write to <table>/_v=<id> (default: a new id), switch views at the end")
     build.add_argument("--view", action="append", default=[],
                        help="<table>=<view name> to rename a published view, repeatable")
     build.add_argument("--database", default=None,
                        help="create persistent views in this database (created if missing)")
     build.add_argument("--partition", action="append", default=[],
                        help="<table>=<col>[,<col>...] to write a table partitioned, repeatable")
+    build.add_argument("--calendar", default=None, metavar="FIRST:LAST",
+                       help="publish the calendar days between two keys (yyyyMMdd), e.g. 20160101:20191231")
+    build.add_argument("--calendar-start", default="2016-01-01", help="first day of that calendar")
+    build.add_argument("--as-of", default=None, help="date its rolling flags refer to (default: today)")
+    build.add_argument("--load-ts", default=None, help="its load date (default: now)")
     build.add_argument("--master", default=None)
     build.add_argument("--shuffle-partitions", type=int, default=None,
                        help="fixed shuffle partition count; by default sized from the input bytes")
@@ -64,9 +69,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
         spark.catalog.setCurrentDatabase(args.database)
+    calendar = None
+    if args.calendar:
+        first, last = map(int, args.calendar.split(":"))
+        calendar = CalendarWindow(args.calendar_start, first, last, args.as_of, args.load_ts)
     published = build_mart(spark, mp, args.out, fmt=args.format, months_ahead=args.months_ahead,
                            version=args.version, view_names=views, temp_views=not args.database,
-                           partition_by=parts)
+                           partition_by=parts, calendar=calendar)
     print(json.dumps({"paths": published.paths, "views": published.views}))
     return 0
 

@@ -44,16 +44,15 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
     3. key = offset of the partition + position inside it, read off
        ``monotonically_increasing_id`` (consecutive within a partition).
 
-    The two uses of the ranged frame share one exchange (Spark reuses it).
-    Ordering on the remaining columns after ``order_by`` makes ties
-    deterministic and lets the range partitioner split a key shared by many
-    rows over several tasks. The whole order must stay deterministic: the
-    counts and the keyed rows must see the same range partitions, which they
-    do by sharing one exchange. A session with exchange reuse turned off
-    would sample range bounds twice, from rows that arrive in no fixed order,
-    so there the ranged frame is checkpointed once (to the shared checkpoint
-    folder) and both uses read it. Meant for distinct rows (dimensions);
-    exact copies of one row stay together in one range partition.
+    The counts and the keyed rows must see the same partitions, so the ranged
+    and numbered frame is checkpointed once (to the shared checkpoint folder)
+    and both read it: whatever plan the result becomes part of, neither
+    adaptive merging nor a second sampling of range bounds can tell them
+    apart, and columns that have no order (maps) are carried along. Ordering
+    on the remaining columns after ``order_by`` makes ties deterministic and
+    lets the range partitioner split a key shared by many rows over several
+    tasks. Meant for distinct rows (dimensions); exact copies of one row stay
+    together in one range partition.
     """
     mid = "_stellate_mid"
     pid = "_stellate_pid"
@@ -64,21 +63,17 @@ def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame
         .withColumn(mid, F.monotonically_increasing_id())
         .withColumn(pid, F.shiftright(F.col(mid), 33))
     )
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
         pid, (F.sum("_n").over(before) - F.col("_n")).alias("_offset")
     )
     local = F.col(mid) - F.shiftleft(F.col(pid), 33)
-    return (
-        ranged.join(F.broadcast(offsets), pid)
-        .withColumn(name, (F.col("_offset") + local + 1).cast("bigint"))
-        .drop(mid, pid, "_offset")
-    )
+    keyed = ranged.join(F.broadcast(offsets), pid).withColumn(name, (F.col("_offset") + local + 1).cast("bigint"))
+    # columns of its own: a fact built from the keyed frame may be joined to it again
+    return keyed.drop(mid, pid, "_offset").toDF(*df.columns, name)
 
 
 def hash_key(*cols: str) -> Column:

@@ -77,6 +77,13 @@ def broadcast_if_small(
     max_rows: int = DEFAULT_MAX_ROWS,
     max_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
-    """Checkpoint ``df``; return it with a broadcast hint if it is within bounds."""
+    """Checkpoint ``df``; return it with a broadcast hint if it is within bounds.
+
+    Rows that are part of the plan itself (a literal mapping) have a known
+    size: they are neither written nor measured.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if plan.nodeName() == "LocalRelation" and int(str(plan.stats().sizeInBytes())) <= max_bytes:
+        return F.broadcast(df)
     frozen, fits = measure_side(df, max_rows, max_bytes)
     return F.broadcast(frozen) if fits else frozen

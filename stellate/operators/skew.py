@@ -9,17 +9,18 @@ on the key, so that split never applies.
 
 ``join_to_keys`` removes the hazard:
 
-1. The key set is materialised once and measured. Within the broadcast bound
-   it is broadcast: the large side is not shuffled at all.
-2. Otherwise the hot keys (more than ``hot_rows`` rows, counted by the
-   aggregate that found the keys) get ``ceil(n / hot_rows)`` salts each, at
-   most ``max_salts``. Only the ``max_hot_keys`` hottest are taken, which also
-   bounds the table, and it is broadcast after measuring. Each large-side row
-   of a hot key takes the salt ``hash(row) mod salts``; the key side carries
-   every salt of its key, so every row finds its match and the result is
-   exact. Cold keys keep salt 0. The join on (key, salt) spreads a hot key
-   over many tasks, and both inputs are ordinary shuffles, so AQE can split
-   further.
+1. The keys and their counts are materialised once and measured. Within the
+   broadcast bound the keys are broadcast: the large side is not shuffled.
+2. Otherwise hot keys are salted. A key is hot above ``hot_rows`` rows, or
+   above the ``1 / max_hot_keys``-th part of all matched rows where that is
+   more; so there are never more than ``max_hot_keys`` of them, without any
+   being left out, and a hot key's share of a task stays in proportion to the
+   input. A hot key of ``n`` rows gets ``ceil(n / threshold)`` salts. Each
+   large-side row of a hot key takes the salt ``hash(row) mod salts``; the key
+   side carries every salt of its key, so every row finds its match and the
+   result is exact. Cold keys keep salt 0. The join on (key, salt) spreads a
+   hot key over many tasks, and both inputs are ordinary shuffles, so AQE can
+   split further.
 
 The salt is a hash of the row, not a random draw, so a task re-run after a
 lost executor routes each row exactly as the first attempt did. Exact copies
@@ -39,7 +40,6 @@ from stellate.operators.broadcast import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, me
 
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_MAX_SALTS = 4096  # key side grows by at most max_hot_keys x max_salts small rows
 SALT = "_stellate_salt"
 SALTS = "_stellate_salts"
 
@@ -52,7 +52,7 @@ def join_to_keys(
     count_col: str = "_n",
     hot_rows: int = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    max_salts: int = DEFAULT_MAX_SALTS,
+    spread_by: Sequence[str] | None = None,
     max_rows: int = DEFAULT_MAX_ROWS,
     max_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
@@ -62,33 +62,30 @@ def join_to_keys(
     ``df`` carry each key. ``how`` is ``left_semi`` or ``inner``; the key set
     has one row per key, so both give the same rows, and the output has
     exactly ``df``'s columns. NULL keys never match (join equality).
+    ``spread_by`` names the columns the salt is a hash of (default: all, which
+    makes the scan read all): a few that tell rows of one key apart.
     """
     keys = list(keys)
     if how not in ("left_semi", "inner"):
         raise ValueError(f"how must be 'left_semi' or 'inner', not {how!r}")
-    key_set, fits = measure_side(key_counts.select(*keys), max_rows, max_bytes)
+    frozen, fits = measure_side(key_counts.select(*keys, count_col), max_rows, max_bytes)
+    key_set = frozen.select(*keys)
     if fits:
         return df.join(F.broadcast(key_set), keys, how).select(*df.columns)
 
-    hot_keys = key_counts.where(F.col(count_col) > hot_rows).select(
-        *keys,
-        F.col(count_col),
-        F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(max_salts)).cast("int").alias(SALTS),
+    total = frozen.agg(F.sum(count_col)).first()[0] or 0
+    threshold = max(hot_rows, -(-int(total) // max_hot_keys))
+    hot = frozen.where(F.col(count_col) > threshold).select(
+        *keys, F.ceil(F.col(count_col) / F.lit(threshold)).cast("int").alias(SALTS)
     )
-    limit = max_hot_keys
-    while True:
-        # the hottest keys get salted; every other key still joins, unsalted
-        hot, fits = measure_side(
-            hot_keys.orderBy(F.col(count_col).desc()).limit(limit).select(*keys, SALTS), limit, max_bytes
-        )
-        if fits or limit == 1:
-            break
-        limit = max(1, limit // 10)  # very wide keys: salt fewer of them
-    hot = F.broadcast(hot)  # at most `limit` rows, measured
+    # fewer than max_hot_keys rows, by the threshold; broadcast if their bytes fit as well
+    hot, narrow = measure_side(hot, max_hot_keys, max_bytes)
+    hot = F.broadcast(hot) if narrow else hot
 
     # the salt must be a function of the row: a re-run task (lost executor)
     # has to send every row to the same reducer as the first attempt did
-    row_hash = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)])
+    hashed = spread_by or [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashed])
     salted_rows = df.join(hot, keys, "left").withColumn(
         SALT,
         F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(F.pmod(row_hash, F.col(SALTS)).cast("int")),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
 
 from stellate.plans import mart
@@ -9,6 +12,21 @@ from stellate.plans.publish import MART_VIEWS, Published, create_view, read_back
 from stellate.sources.marketplace import Marketplace
 
 
+@dataclass(frozen=True)
+class CalendarWindow:
+    """The calendar a mart publishes: its days from ``first_key`` to ``last_key`` (yyyyMMdd, inclusive).
+
+    The calendar starts at ``start`` and its rolling flags are relative to
+    ``as_of`` (default: the run date); ``load_ts`` (default: now) is its load date.
+    """
+
+    start: str = "2016-01-01"
+    first_key: int = 20160101
+    last_key: int = 20191231
+    as_of: str | None = None
+    load_ts: str | None = None
+
+
 def build_mart(
     spark: SparkSession,
     mp: Marketplace,
@@ -19,6 +37,7 @@ def build_mart(
     version: str | None = None,
     view_names: dict[str, str] | None = None,
     partition_by: dict[str, list[str]] | None = None,
+    calendar: CalendarWindow | None = None,
 ) -> Published:
     """Build and publish the four mart tables under ``root``.
 
@@ -26,11 +45,14 @@ def build_mart(
     and the fact joins the *written* table, so ``type_id`` in the fact is the
     key that was published (no second evaluation of the key assignment).
 
-    Without ``version`` each table is overwritten in place at
-    ``root/<table>``. With ``version`` (a run id) the tables go to
-    ``root/<table>/_v=<version>`` and the views are switched only after all
-    four writes succeeded: a failed or half-finished run never replaces what
-    readers of the views see, and re-running the same version is idempotent.
+    The tables go to ``root/<table>/_v=<version>`` (default: a new run id)
+    and the views are switched only after all four writes succeeded: a failed
+    or half-finished run never replaces what readers of the views see, and
+    re-running the same version is idempotent. An empty version overwrites
+    the tables in place at ``root/<table>``.
+
+    ``calendar`` fixes the calendar's bounds; without it the calendar covers
+    the whole years of the orders, as of the last order.
 
     ``view_names`` renames the views ({table: view}); missing tables keep the
     default names of ``MART_VIEWS``. With ``temp_views=False`` they are
@@ -42,6 +64,7 @@ def build_mart(
     names = {**MART_VIEWS, **(view_names or {})}
     parts = partition_by or {}
     root = root.rstrip("/")
+    version = uuid.uuid4().hex if version is None else version
     suffix = f"/_v={version}" if version else ""
     paths = {name: f"{root}/{name}{suffix}" for name in MART_VIEWS}
 
@@ -55,10 +78,14 @@ def build_mart(
                 partition_by=parts.get("dim_customer1"))
 
     ts = "order_purchase_timestamp"
-    calendar = mart.calendar_years_for(mp.orders, ts, months_ahead)
-    write_table(calendar, paths["dim_calendar"], fmt, partition_by=parts.get("dim_calendar"))
+    if calendar is None:
+        days = mart.calendar_years_for(mp.orders, ts, months_ahead)
+    else:
+        days = mart.calendar_dim(spark, calendar.start, calendar.as_of, months_ahead, calendar.load_ts)
+        days = mart.calendar_between(days, calendar.first_key, calendar.last_key)
+    write_table(days, paths["dim_calendar"], fmt, partition_by=parts.get("dim_calendar"))
 
-    oc = mart.order_customer(mp.orders, mart.dim_customer(mp.customers))
+    oc = mart.order_customer(mp.orders, mart.dim_customer(mp.customers), mp.order_columns or mart.ORDER_COLUMNS)
     write_table(mart.build_fact(mp.order_payments, payment_types, oc), paths["fact"], fmt,
                 partition_by=parts.get("fact"))
 

@@ -1,7 +1,9 @@
 """The mart: dimensions, order_customer, the payment-grain fact, the calendar.
 
-Each function takes DataFrames in marketplace names and returns a lazy
-DataFrame; composing them yields one plan Catalyst optimises end to end.
+Each function takes DataFrames in marketplace names and returns a DataFrame;
+composing them yields one plan Catalyst optimises end to end. The plans are
+lazy, but for what is measured or numbered while they are built: small join
+sides and surrogate keys are checkpointed.
 """
 
 from __future__ import annotations
@@ -41,8 +43,12 @@ ORDER_COLUMNS = (
 PAYMENT_MEASURES = ("payment_sequential", "payment_installments", "payment_value")
 
 
-def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    return [c for c in cols if c in df.columns]
+def _required(df: DataFrame, cols: Sequence[str], table: str) -> list[str]:
+    """``cols``, all of which ``df`` must have: a mart is not built without some of its columns."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} lacks {', '.join(missing)}")
+    return list(cols)
 
 
 # --------------------------------------------------------------------------- dims
@@ -64,13 +70,11 @@ def product_translation(products: DataFrame, translation: DataFrame) -> DataFram
 def product_translation_sql(spark: SparkSession, products: DataFrame, translation: DataFrame) -> DataFrame:
     """The same join written as SQL text with DataFrame arguments (``{prod}``)."""
     keep = [c for c in products.columns if c not in ("product_id", "product_category_name")]
-    measures = "".join(f", pr.{c}" for c in keep)
+    columns = ", ".join(["product_id", "product_category_name_english", *keep])
     return spark.sql(
-        "select pr.product_id, prodcat.product_category_name_english"
-        f"{measures} from {{prod}} pr left join {{prod_cat}} prodcat"
-        " on pr.product_category_name = prodcat.product_category_name",
-        prod=products,
-        prod_cat=broadcast_if_small(translation),
+        f"SELECT {columns} FROM {{items}} LEFT JOIN {{names}} USING (product_category_name)",
+        items=products,
+        names=broadcast_if_small(translation.select("product_category_name", "product_category_name_english")),
     )
 
 
@@ -79,9 +83,9 @@ def dim_payments(payments: DataFrame) -> DataFrame:
     return distinct_dim(payments, ["payment_type"], surrogate="type_id")
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
+def dim_customer(customers: DataFrame, columns: Sequence[str] = CUSTOMER_COLUMNS) -> DataFrame:
     """Distinct customers with location (five columns)."""
-    return distinct_dim(customers, _present(customers, CUSTOMER_COLUMNS))
+    return distinct_dim(customers, _required(customers, columns, "customers"))
 
 
 def dim_customer_slim(customers: DataFrame) -> DataFrame:
@@ -91,10 +95,8 @@ def dim_customer_slim(customers: DataFrame) -> DataFrame:
 
 def dim_customer_slim_sql(spark: SparkSession, customers: DataFrame) -> DataFrame:
     """The slim customer dimension written as SQL with a DataFrame argument."""
-    return spark.sql(
-        "select distinct c.customer_unique_id, c.customer_zip_code_prefix from {cust} as c",
-        cust=customers,
-    )
+    columns = ", ".join(SLIM_CUSTOMER_COLUMNS)
+    return spark.sql(f"SELECT {columns} FROM {{people}} GROUP BY {columns}", people=customers)
 
 
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:
@@ -103,38 +105,52 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
 
 
 def geolocation_per_zip(geolocation: DataFrame) -> DataFrame:
-    """Exactly one row per zip prefix (smallest city / state), safe to join on zip.
+    """Exactly one row per zip prefix, safe to join on zip: the zip's first whole row.
 
     The raw geolocation has many rows per zip (one per coordinate), and even
     its distinct form can hold two cities for one zip; joining either fans the
-    orders out. Grouping by zip is a partial aggregation, so a hot zip costs
-    one row per task before the shuffle.
+    orders out. First is by city, state, latitude, longitude (the coordinates
+    where the input has them), taken together, so the place is one of the
+    input's. Grouping by zip is a partial aggregation, so a hot zip costs one
+    row per task before the shuffle.
     """
-    return geolocation.groupBy("geolocation_zip_code_prefix").agg(
-        F.min("geolocation_city").alias("geolocation_city"),
-        F.min("geolocation_state").alias("geolocation_state"),
-    )
+    place = ["geolocation_city", "geolocation_state"]
+    place += [c for c in ("geolocation_lat", "geolocation_lng") if c in geolocation.columns]
+    first = geolocation.groupBy("geolocation_zip_code_prefix").agg(F.min(F.struct(*place)).alias("_place"))
+    return first.select("geolocation_zip_code_prefix", "_place.*")
 
 
 # --------------------------------------------------------------------------- fact
 
 
-def order_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def order_customer(
+    orders: DataFrame,
+    customers: DataFrame,
+    order_columns: Sequence[str] = ORDER_COLUMNS,
+    customer_columns: Sequence[str] = CUSTOMER_COLUMNS,
+) -> DataFrame:
     """Orders with their customer's attributes (inner join on customer_id).
 
+    ``order_columns`` and ``customer_columns`` are kept; all must be there.
+
     Orders without a customer drop out. Both sides are large at scale, so this
     is a shuffle join on customer_id; AQE splits a customer that owns a large
     share of the orders.
     """
-    order_cols = _present(orders, ORDER_COLUMNS)
-    cust_cols = _present(customers, CUSTOMER_COLUMNS)
+    order_cols = _required(orders, order_columns, "orders")
+    cust_cols = _required(customers, customer_columns, "customers")
     o = orders.select(*order_cols, "customer_id")
     c = customers.select(*cust_cols)
     joined = o.join(c, "customer_id", "inner")
     return joined.select(*order_cols, *cust_cols)
 
 
-def build_fact(payments: DataFrame, payment_types: DataFrame, order_cust: DataFrame) -> DataFrame:
+def build_fact(
+    payments: DataFrame,
+    payment_types: DataFrame,
+    order_cust: DataFrame,
+    measures: Sequence[str] = PAYMENT_MEASURES,
+) -> DataFrame:
     """Payment-grain fact: one row per payment of an order that has a customer.
 
     ``payments`` join ``payment_types`` on the natural payment_type (brings
@@ -146,14 +162,14 @@ def build_fact(payments: DataFrame, payment_types: DataFrame, order_cust: DataFr
     shuffled on the low-cardinality payment_type and the only shuffle of the
     fact-sized side is the one on order_id.
     """
-    measures = _present(payments, PAYMENT_MEASURES)
+    measures = _required(payments, measures, "order_payments")
     p = payments.select("order_id", "payment_type", *measures)
     pt = broadcast_if_small(payment_types.select("payment_type", "type_id"))
     typed = p.join(pt, "payment_type", "inner")
     fact = typed.join(order_cust, "order_id", "inner")
-    seq = [c for c in ("payment_sequential",) if c in measures]
-    rest = [c for c in measures if c != "payment_sequential"]
-    return fact.select(*order_cust.columns, *seq, "type_id", *rest)
+    first = [c for c in measures if c == "payment_sequential"]
+    rest = [c for c in measures if c not in first]
+    return fact.select(*order_cust.columns, *first, "type_id", *rest)
 
 
 def reviews_with_order_customer(reviews: DataFrame, order_cust: DataFrame) -> DataFrame:

@@ -52,9 +52,9 @@ def get_session(
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the cluster's shared storage for written tables.
 
-    The root is ``spark.checkpoint.dir`` as the cluster sets it; when that is
-    unset (a laptop, a test) we fall back to the SQL warehouse folder. Never a
-    machine-local temp folder: executors on other hosts must see the files.
+    The root is ``spark.checkpoint.dir`` as the cluster sets it. When that is
+    unset the SQL warehouse folder serves, but a warehouse on a local disk
+    only with a local master: executors on other hosts must see the files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -64,6 +64,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
             root = None
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.conf.get("spark.master", "")
+        if (root.startswith("file:") or "://" not in root) and not master.startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder all executors share: it is unset, and the"
+                f" warehouse folder {root} is on a local disk"
+            )
     return "/".join([root.rstrip("/"), *parts])
 
 
@@ -97,7 +103,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_INITIAL_PARTITIONS = 65536
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -118,15 +123,13 @@ def size_shuffle_partitions(
     spark: SparkSession,
     inputs: list[DataFrame],
     target_bytes: int = TARGET_PARTITION_BYTES,
-    max_partitions: int = MAX_INITIAL_PARTITIONS,
 ) -> int:
     """Start adaptive execution's shuffles with enough partitions for the inputs.
 
     AQE only merges partitions, never splits a too-large one (skew joins
     aside), so the starting count must be high enough for the largest
     shuffle: the inputs' size on disk / ``target_bytes``, at least the
-    cluster's parallelism, at most ``max_partitions``. AQE then coalesces
-    down to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    cluster's parallelism. AQE then coalesces down to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 
     Set only when the launcher has not set the starting count itself; returns
     the count in force.
@@ -139,6 +142,6 @@ def size_shuffle_partitions(
     except Exception:  # noqa: BLE001  (Spark Connect: no plan statistics here)
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     wanted = -(-total // target_bytes)
-    n = max(default_parallelism(spark), min(wanted, max_partitions))
+    n = max(default_parallelism(spark), wanted)
     spark.conf.set(INITIAL_PARTITIONS, str(n))
     return n

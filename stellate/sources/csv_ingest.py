@@ -9,7 +9,7 @@ stays an option (``drop``) because the mart does not use it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -18,17 +18,28 @@ def read_csv(
     schema: StructType | str,
     header: bool = True,
     encoding: str = "UTF-8",
+    multi_line: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Read a CSV extract with an explicit schema (no inference pass).
 
-    ``multiLine`` lets a quoted field span lines; ``escape='"'`` reads the
-    doubled quote ``""`` as one quote character (RFC 4180). Malformed rows are
-    kept with NULLs (PERMISSIVE) rather than silently ending the file.
+    ``multi_line`` lets a quoted field span lines; a file is then read by one
+    task, so large extracts should come as many files. Without it files are
+    split, for extracts whose fields hold no line breaks. ``escape='"'`` reads
+    the doubled quote ``""`` as one quote character (RFC 4180). Malformed rows
+    are kept with NULLs (PERMISSIVE); ``corrupt`` names a column that then
+    holds the row's text, NULL for sound rows.
     """
+    if corrupt:
+        schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+    reader = spark.read.schema(schema)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return (
-        spark.read.schema(schema)
+        reader
         .option("header", header)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", encoding)
@@ -44,9 +55,12 @@ def ingest_csv(
     schema: StructType | str,
     drop: list[str] | tuple[str, ...] = (),
     header: bool = True,
+    encoding: str = "UTF-8",
+    multi_line: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Convert a CSV extract to Parquet at ``dst`` (overwrite) and return the scan of it."""
-    df = read_csv(spark, src, schema, header=header)
+    df = read_csv(spark, src, schema, header, encoding, multi_line, corrupt)
     if drop:
         df = df.drop(*drop)
     df.write.mode("overwrite").parquet(dst)

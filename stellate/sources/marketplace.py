@@ -30,6 +30,9 @@ order_payments    lineitem: order_id = l_orderkey,
                   payment_value = l_extendedprice
 products          part: product_id = p_partkey,
                   product_category_name = p_type, ...
+order_reviews     lineitem: review_id = l_partkey, order_id = l_orderkey,
+                  review_score = l_linenumber,
+                  review_creation_date = l_shipdate
 category map      fixed lookup below (one type left out so NULLs occur)
 geolocation       supplier + nation + region (several rows per zip prefix)
 order_items       lineitem as read
@@ -123,7 +126,9 @@ class Marketplace:
     one; functions run on first use, so a query only opens the files it reads.
     """
 
-    def __init__(self, **tables):
+    def __init__(self, order_columns: tuple[str, ...] | None = None, **tables):
+        """``order_columns``: the orders' columns a mart keeps, where the source has not all of them."""
+        self.order_columns = order_columns
         missing = set(FIELDS) - set(tables)
         extra = set(tables) - set(FIELDS) - set(OPTIONAL)
         if missing or extra:
@@ -149,7 +154,7 @@ class Marketplace:
 
     @property
     def order_reviews(self) -> DataFrame | None:
-        """The review extract when one was given (None on the driver tables)."""
+        """The review extract when one was given."""
         return self._get("order_reviews") if "order_reviews" in self._sources else None
 
     @classmethod
@@ -194,6 +199,14 @@ class Marketplace:
                 F.col("l_extendedprice").alias("payment_value"),
             )
 
+        def order_reviews():
+            return t("lineitem").select(
+                F.col("l_partkey").alias("review_id"),
+                F.col("l_orderkey").alias("order_id"),
+                F.col("l_linenumber").alias("review_score"),
+                F.col("l_shipdate").alias("review_creation_date"),
+            )
+
         def products():
             return t("part").select(
                 F.col("p_partkey").alias("product_id"),
@@ -221,6 +234,8 @@ class Marketplace:
             geolocation=geolocation,
             order_items=lambda: t("lineitem"),
             sellers=lambda: t("supplier"),
+            order_reviews=order_reviews,
+            order_columns=("order_id", "order_status", "order_purchase_timestamp"),
         )
 
     def register_views(self, spark: SparkSession, reviews: DataFrame | None = None) -> dict[str, str]:

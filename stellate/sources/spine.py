@@ -19,7 +19,7 @@ def day_sequence(start: Column, end: Column) -> Column:
     ).otherwise(F.array().cast("array<date>"))
 
 
-MAX_SPINE_TASKS = 64
+SPINE_TASKS = 64
 
 
 def month_sequence(start: Column, end: Column) -> Column:
@@ -31,7 +31,8 @@ def month_sequence(start: Column, end: Column) -> Column:
 
 
 def spine_from_bounds(
-    bounds: DataFrame, start: str, end: str, name: str = "calendarDate", keep: list[str] | None = None
+    bounds: DataFrame, start: str, end: str, name: str = "calendarDate", keep: list[str] | None = None,
+    max_tasks: int = SPINE_TASKS,
 ) -> DataFrame:
     """Explode a frame of (start, end) bounds into one row per day, inclusive.
 
@@ -41,7 +42,7 @@ def spine_from_bounds(
     function of the data volume.
 
     Generation is spread out: the range is first cut into one row per month,
-    the months are dealt round-robin over up to ``MAX_SPINE_TASKS`` tasks
+    the months are dealt round-robin over up to ``max_tasks`` tasks
     (the cluster's default parallelism when smaller), and each task expands
     its own months into days. No task builds the whole range.
     """
@@ -50,7 +51,7 @@ def spine_from_bounds(
     months = bounds.select(F.explode(month_sequence(s, e)).alias("_month"), start, end, *keep)
     # a calendar has at most a few hundred months: spread them, but never over
     # thousands of mostly empty tasks on a large cluster
-    months = months.repartition(max(1, min(MAX_SPINE_TASKS, default_parallelism(bounds.sparkSession))))
+    months = months.repartition(max(1, min(max_tasks, default_parallelism(bounds.sparkSession))))
     first = F.greatest(F.col("_month"), s)
     last = F.least(F.last_day(F.col("_month")), e)
     return months.select(F.explode(day_sequence(first, last)).alias(name), *keep)

@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from stellate.plans import catalog
 from conftest import SMOKE
 from stellate.sources.tables import DRIVER_TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.QUERIES  # the training-text queries have tests of their own
+ORACLE = catalog.ORACLE
 
 
 def _norm(v):

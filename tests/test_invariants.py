@@ -52,7 +52,7 @@ def test_6_equivalent_forms_agree(spark):
 
 def test_7_fact_type_ids_join_back_to_the_dimension(spark, mp):
     dim = mart.dim_payments(mp.order_payments)
-    oc = mart.order_customer(mp.orders, mart.dim_customer(mp.customers))
+    oc = mart.order_customer(mp.orders, mart.dim_customer(mp.customers), mp.order_columns)
     fact = mart.build_fact(mp.order_payments, dim, oc)
     assert fact.join(dim, "type_id", "left_anti").count() == 0
     assert fact.join(dim, "type_id").count() == fact.count()

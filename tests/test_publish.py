@@ -3,7 +3,7 @@
 import pytest
 
 from fixtures import marketplace
-from stellate.plans import MART_VIEWS, build_mart, create_view, mart, publish, read_back, sample_view, write_table
+from stellate.plans import MART_VIEWS, CalendarWindow, build_mart, create_view, mart, publish, read_back, sample_view, write_table
 from stellate.session import (
     INITIAL_PARTITIONS,
     default_parallelism,
@@ -44,6 +44,33 @@ def test_build_mart_publishes_four_tables(spark, out_dir):
     assert [r["order_id"] for r in sample.collect()] == ["o1", "o2"]
 
 
+def test_build_mart_publishes_a_fixed_calendar(spark, out_dir):
+    window = CalendarWindow(as_of="2018-10-15", load_ts="2018-10-16 08:00:00")
+    pub = build_mart(spark, marketplace(spark), f"{out_dir}/fixed", calendar=window)
+    cal = read_back(spark, pub.paths["dim_calendar"])
+    keys = cal.selectExpr("count(*)", "min(date_key)", "max(date_key)", "count(distinct load_date)").first()
+    assert tuple(keys) == (1461, 20160101, 20191231, 1)
+    assert cal.where("last_month_flag = 1").selectExpr("min(yyyymm)", "max(yyyymm)").first()[:] == ("201809", "201809")
+
+
+def test_build_mart_refuses_missing_columns(spark, out_dir):
+    from stellate.sources.marketplace import FIELDS, Marketplace
+
+    mp = marketplace(spark)
+    tables = {f: getattr(mp, f) for f in FIELDS}
+    for table, column in (("orders", "order_approved_at"), ("customers", "customer_city"), ("order_payments", "payment_value")):
+        broken = Marketplace(**tables | {table: tables[table].drop(column)})
+        with pytest.raises(ValueError, match=column):
+            build_mart(spark, broken, f"{out_dir}/broken")
+
+
+def test_runs_do_not_share_folders(spark, out_dir):
+    mp = marketplace(spark)
+    first, second = (build_mart(spark, mp, f"{out_dir}/runs") for _ in range(2))
+    assert set(first.paths.values()).isdisjoint(second.paths.values())
+    assert read_back(spark, first.paths["fact"]).count() == 4
+
+
 def test_publish_generic_and_persistent_view(spark, out_dir):
     tables = {"dim_payments": mart.dim_payments(marketplace(spark).order_payments)}
     pub = publish(spark, tables, f"{out_dir}/p")
@@ -86,8 +113,8 @@ def test_shuffle_partitions_sized_from_input_bytes(spark):
     total = sum(plan_bytes(df) for df in inputs)
     assert total > 0
     try:
-        n = size_shuffle_partitions(spark, inputs, target_bytes=64 * 1024, max_partitions=1000)
-        assert n == max(default_parallelism(spark), min(-(-total // (64 * 1024)), 1000))
+        n = size_shuffle_partitions(spark, inputs, target_bytes=64 * 1024)
+        assert n == max(default_parallelism(spark), -(-total // (64 * 1024)))
         assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
         # a count the launcher (or an earlier call) set is left as it is
         assert size_shuffle_partitions(spark, inputs, target_bytes=1) == n
