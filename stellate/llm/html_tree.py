@@ -300,7 +300,8 @@ def low_nodes(pages: DataFrame, s: Settings) -> DataFrame:
     """(host, low): the nodes of each host's site tree that fall below the threshold."""
     seen = pages.select("host", F.arrow_udf(_seen, SEEN)("html").alias("seen"))
     # copies of one main text are one page
-    seen = seen.select("host", F.xxhash64(F.transform("seen", lambda x: x["content"])).alias("page"), F.explode("seen").alias("b"))
+    seen = seen.select("host", F.xxhash64(F.transform("seen", lambda x: x["content"])).alias("page"), "seen")
+    seen = seen.select("host", "page", F.explode("seen").alias("b"))
     seen = freeze(seen.select("host", "page", "b.*").distinct(), "nodes")
     held = seen.groupBy("host", "node", "page").agg(F.min("style").alias("style"))
     m = F.col("m").cast("double")

@@ -9,7 +9,7 @@ Two verdicts per document:
   too little is left is rejected.
 
 Distinct documents are told apart by content, not by id: a document counts
-under a min-hash of its words, so that a page copied a thousand times, with or
+under a min-hash of its word pairs, so that a page copied a thousand times, with or
 without small edits, is (nearly) one document. A line is boilerplate only if
 the distinct documents are also at least ``min_variety`` of all documents that
 hold it. Copies are the near-duplicate operator's to thin out; removing all of
@@ -52,7 +52,7 @@ class Limits:
 
 
 def text_stats(text: str) -> tuple:
-    """The counts of one text, its word min-hash and its distinct normalised lines."""
+    """The counts of one text, its min-hash and its distinct normalised lines."""
     import re
 
     import numpy as np
@@ -71,7 +71,7 @@ def text_stats(text: str) -> tuple:
         if line in seen:
             dup_lines += 1
         seen.add(line)
-        folded = b" ".join(re.sub(r"[0-9]", "0", inner.lower()).encode().split())
+        folded = b" ".join(re.sub(r"[0-9]+", "0", inner.lower()).encode().split())
         key = h64(folded)
         lines[key] = lines.get(key, 0) + folded.count(b" ") + 1
     repeat = 0
@@ -79,8 +79,8 @@ def text_stats(text: str) -> tuple:
     if n:
         names = {w: h64(w) for w in set(words)}
         hashed = np.fromiter(map(names.__getitem__, words), np.uint64, n)
-        # the smallest of the words' hashes, remixed so that it is not a word's own hash
-        who = int((hashed * np.uint64(0x9E3779B97F4A7C15)).min())
+        pairs = hashed[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ hashed[1:] if n > 1 else hashed
+        who = int((pairs * np.uint64(0x94D049BB133111EB) ^ (pairs >> np.uint64(31))).min())
         if n >= WINDOW:
             last = n - WINDOW + 1
             win = np.zeros(last, np.uint64)

@@ -146,13 +146,11 @@ class Channel:
             return [core]
         if not t or len(t) > self.max_token:
             return [core] if core else []
-        out = []
+        out = [self.decode(core, masked=True)] if any(c in core for c in ANY_LETTER) else []
+        out.append(self.decode(core))
         pieces = [p for p in INNER.split(core) if p]
         if len(pieces) > 1:
             out += [p if PLAIN.match(p) and not LONG_RUN.search(p) else self.decode(p) for p in pieces if len(p) > 1]
-        out.append(self.decode(core))
-        if any(c in core for c in ANY_LETTER):
-            out.append(self.decode(core, masked=True))
         full = t.rstrip(".,;:?\"')]")  # signs at the edges may be letters
         if full != core and any(c in LOOKS_LIKE for c in full.replace(core, "", 1)):
             out.append(self.decode(full))
@@ -165,10 +163,10 @@ class Channel:
         def one(m):
             token = m[0]
             core = token.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
-            if not core or PLAIN.match(core) and not LONG_RUN.search(core):
+            if all(len(p) > 1 and PLAIN.match(p) and not LONG_RUN.search(p) for p in INNER.split(core) if p):
                 return token
             words = self.words(token)
-            return words[-1] if words else token
+            return words[0] if words else token
 
         return re.sub(r"\S+", one, text)
 

@@ -231,7 +231,7 @@ def reachable(chunks: DataFrame) -> DataFrame:
     while not jump.isEmpty():
         more = entries.join(jump, ["file", "place"]).select("file", F.col("to").alias("place"))
         entries = freeze(entries.unionByName(more).distinct(), "entries")
-        on = jump.withColumnsRenamed({"place": "to", "to": "further"})
+        on = jump.select("file", F.col("place").alias("to"), F.col("to").alias("further"))
         jump = freeze(jump.join(on, ["file", "to"]).select("file", "place", F.col("further").alias("to")), "jump")
 
     starts = placed.select("file", "split", F.col("at").alias("place")).join(entries, ["file", "place"])

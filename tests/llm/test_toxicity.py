@@ -1,0 +1,106 @@
+import random
+
+import numpy as np
+import pytest
+from llm_texts import prose
+
+from stellate.llm import toxicity
+
+INSULTS = ("blockhead", "numbskull", "nitwit")
+
+
+def texts(n=240):
+    rng = random.Random(8)
+    out = []
+    for i in range(n):
+        words = prose(i, 60).split()
+        if i % 4 == 0:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rows = [(i, t) for i, t in enumerate(texts())]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    return toxicity.train(frame, labels)
+
+
+@pytest.mark.parametrize("hidden,word", [
+    ("nitw1t", "nitwit"), ("n1tw1t", "nitwit"), ("n i t w i t", "nitwit"), ("n.i.t.w.i.t", "nitwit"), ("n-i-t-w-i-t", "nitwit"),
+    ("nitwiiiit", "nitwit"), ("numb$kull", "numbskull"), ("numb5ku11", "numbskull"), ("bl0ckh3ad", "blockhead"),
+    ("bl*ckhead", "blockhead"), ("NUMBSKULL!!!", "numbskull"), ("block-head", "blockhead"), ("n 1 t w 1 t", "nitwit"),
+])
+def test_hidden_words_are_restored_and_scored(spark, docs, trained, hidden, word):
+    channel = toxicity.Channel(trained.model, 60)
+    text = f"{prose(901, 20)} {hidden} {prose(902, 20)}"
+    assert word in {w for t in channel.tokens(text) for w in channel.words(t)}
+    clean = prose(901, 20) + " " + prose(902, 20)
+    got = {r.doc_id: r.score for r in toxicity.score(docs([(1, text, "s"), (2, clean, "s")]), trained).collect()}
+    assert got[1] >= 0.5 > got[2]
+
+
+def test_plain_words_are_their_own_decoding(trained):
+    channel = toxicity.Channel(trained.model, 60)
+    text = prose(77, 200) + " Éclair ñandú 日本 word's"
+    assert channel.restore(prose(77, 200)) == prose(77, 200)
+    for w in text.split()[:200]:
+        assert channel.words(w) == [w]
+
+
+def test_decoding_is_the_best_path(trained):
+    """Viterbi against enumeration of every reading of short tokens."""
+    import itertools
+
+    channel = toxicity.Channel(trained.model, 60)
+
+    def cost(letters):
+        x = y = 0
+        s = 0.0
+        for k in [*(ord(c) - 96 for c in letters), 0]:
+            s += trained.model[x, y, k]
+            x, y = y, k
+        return s
+
+    for token in ("k4", "m0", "s3n", "1u", "t!m0", "d@l", "p0r7"):
+        ways = itertools.product(*channel.arcs(token))
+        best = max((cost("".join(a for a, _ in w)) - sum(c for _, c in w), "".join(a for a, _ in w)) for w in ways)
+        assert channel.decode(token) == best[1]
+
+
+def test_held_out_documents(spark, docs, trained):
+    fresh = [(i, prose(3000 + i, 60) + (" " + INSULTS[i % 3] if i % 2 else ""), "s") for i in range(60)]
+    got = {r.doc_id: r.score for r in toxicity.score(docs(fresh), trained).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(i % 2) for i in got]) > 0.95
+
+
+def test_copies_do_not_make_their_words_toxic(spark, docs):
+    """A toxic document copied many times: its harmless words stay harmless."""
+    rare = prose(4000, 60) + " nitwit"
+    rows = [(i, t) for i, t in enumerate(texts())] + [(1000 + i, rare) for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0 or i >= 1000)) for i, _ in rows], "doc_id bigint, toxic int")
+    scorer = toxicity.train(frame, labels)
+    (r,) = toxicity.score(docs([(1, prose(4000, 60), "s")]), scorer).collect()
+    assert r.score < 0.5
+
+
+def test_odd_texts_and_columns(docs, trained):
+    odd = docs([(1, None, None), (2, "", "s"), (3, " \n ", "s"), (4, "a" * 300_000, "s"), (5, "1 " * 50_000, "s"), (6, "@$!| ***", "s"),
+                (None, "nitwit", "s"), (1, None, None), (7, "é日\x00 ¡¿", "s")])
+    out = toxicity.score(odd, trained)
+    rows = out.collect()
+    assert set(odd.columns) < set(out.columns) and len(rows) == 9
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (1, 2, 3)}) == 1
+    assert [r.restored for r in toxicity.restore(docs([(1, "a n1tw1t!", "s"), (2, None, "s")]), trained.model).orderBy("doc_id").collect()] == ["a nitwit", ""]
+
+
+def test_empty_tables(spark, docs):
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    scorer = toxicity.train(docs([]), labels)
+    assert toxicity.score(docs([]), scorer).count() == 0
+    assert all(0 <= r.score < 0.5 for r in toxicity.score(docs([(1, "some text", "s")]), scorer).collect())
