@@ -16,9 +16,10 @@
    a logistic regression on these few numbers gives the score. It is fitted on
    at most ``max_docs`` labelled documents, each rated without its own count.
 
-The counts are sums over all documents and all labelled documents given. What
-the driver holds is bounded: the language model has 28 cubed cells, and the
-feature table at most ``2 ** hash_bits`` entries, of which only those that ``min_docs``
+The language model counts all documents. The labelled documents used are
+bounded by ``max_rated`` (the first by a hash of their id). What the driver
+holds is bounded: the language model has 27 cubed cells, and the feature table
+at most ``2 ** hash_bits`` entries, of which only those that ``min_docs``
 distinct toxic documents have are kept.
 
 Empty and null texts have no words; their summary is all zeros. A token of
@@ -36,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.common import freeze, whole
-from stellate.operators.broadcast import broadcast_if_small
 
 # The letters that characters are commonly written for.
 LOOKS_LIKE = {
@@ -70,6 +70,7 @@ class Settings:
     unsure: float = 0.45  # what the rating of a feature that may be chance is multiplied by
     z: float = 1.64  # of the confidence interval
     telling: int = 5  # words whose ratings go into a text's summary
+    max_rated: int = 20_000  # labelled documents that features are rated on at most
     max_docs: int = 4000  # labelled documents that the summary's weights are fitted on at most
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
 
@@ -311,13 +312,15 @@ def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
     settings: Settings = Settings(), model: np.ndarray | None = None,
 ) -> Scorer:
-    """Rate features over all labelled documents in ``labels``."""
+    """Rate features and fit the score on (at most ``max_rated`` of) the documents in ``labels``."""
     s = settings
     if model is None:
         model = language_model(docs, text)
-    known = labels.where(F.col(label).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("y"))
-    known = broadcast_if_small(known.distinct())
-    labelled = docs.join(known, F.col(doc_id) == F.col("_id")).select("y", whole(text).alias("t"))
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("y"))
+    known = known.distinct().orderBy(F.xxhash64("_id"), "_id", "y")
+    # at most max_rated ids: a broadcast of proven size
+    rated_on = F.broadcast(known.limit(s.max_rated))
+    labelled = docs.join(rated_on, F.col(doc_id) == F.col("_id")).select("y", whole(text).alias("t"))
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
 
     def describe(texts):
@@ -337,18 +340,17 @@ def train(
         return pa.array(rows, pa.struct([("who", pa.int64()), ("f", pa.list_(pa.int32()))]))
 
     described = labelled.select("y", F.arrow_udf(describe, "struct<who:bigint,f:array<int>>")("t").alias("d"))
-    described = freeze(described.select("y", "d.*"), "described")
-    totals = {r["y"]: r["n"] for r in described.groupBy("y").agg(F.countDistinct("who").alias("n")).collect()}
-    each = described.select("y", "who", F.explode("f").alias("f"))
-    # a feature needs toxic documents to rate at all, so only such features are counted on the clean side
-    toxic = each.where("y = 1").groupBy("f", "who").agg(F.count(F.lit(1)).alias("c"))
-    toxic = freeze(toxic.groupBy("f").agg(F.count(F.lit(1)).alias("a")), "toxic-features")
-    tried = toxic.count()
-    toxic = toxic.where(F.col("a") >= s.min_docs)
-    clean = each.where("y = 0").join(toxic.select("f"), "f").groupBy("f").agg(F.countDistinct("who").alias("b"))
-    both = toxic.join(clean, "f", "left").select("f", "a", F.coalesce("b", F.lit(0)).alias("b"))
+    # copies of a document are one document
+    described = freeze(described.select("y", "d.*").dropDuplicates(["who", "y"]), "described")
+    totals = {r["y"]: r["n"] for r in described.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = described.select("y", F.explode("f").alias("f")).groupBy("f").agg(
+        F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")
+    )
+    counts = freeze(counts.where(F.col("a") > 0), "features")
+    tried = counts.count()
     # the table holds what a text can be told by; at most 2 ** hash_bits rows
-    table = both.where(F.col("a") >= s.min_rating * (F.col("a") + F.col("b"))).collect()
+    enough = (F.col("a") >= s.min_docs) & (F.col("a") >= s.min_rating * (F.col("a") + F.col("b")))
+    table = counts.where(enough).collect()
     share = min(max(totals.get(1, 0) / max(sum(totals.values()), 1), 1e-6), 1 - 1e-6)
     tries = max(tried, 1)
     # a labelled document must not be told by itself: its own count is taken off for the fit
@@ -367,9 +369,9 @@ def train(
             rows.append(summary([get(tok) for tok in channel.tokens(t.as_py())], s))
         return pa.array(rows, pa.list_(pa.float64()))
 
-    fit_on = known.orderBy(F.xxhash64("_id"), "_id").limit(s.max_docs)
+    fit_on = known.limit(s.max_docs)
     sample = docs.join(F.broadcast(fit_on), F.col(doc_id) == F.col("_id")).select("_id", "y", whole(text).alias("t"))
-    sample = sample.where("y in (0, 1)").select("_id", "y", F.arrow_udf(describe_fit, "array<double>")("t", "y").alias("x"))
+    sample = sample.select("_id", "y", F.arrow_udf(describe_fit, "array<double>")("t", "y").alias("x"))
     fitted = sample.toArrow().sort_by([("_id", "ascending"), ("y", "ascending")])
     x = np.array(fitted.column("x").to_pylist(), np.float64).reshape(-1, len(summary([], s)))
     return Scorer(model, parts["all"], _fit(x, np.array(fitted.column("y").to_pylist(), np.float64)), s)
