@@ -17,7 +17,7 @@ gives the same symbol. Therefore
   its span is repeated;
 * windows that no such symbol rules out lie in regions of shared high-level
   symbols. These long repeats are verified by the windows' words themselves
-  (128-bit names of the ``window`` words, counted over the corpus).
+  (96-bit names of the ``window`` words, counted over the corpus).
 
 Nothing depends on the lengths that rounds happen to give: a window without a
 complete symbol (inside a long run of one word, say) is simply verified.
@@ -44,14 +44,14 @@ from stellate.llm.common import content_key, freeze, whole
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASES = (np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5))
-CHUNK_WORDS = 400_000  # words a task works on at a time
+CHUNK_WORDS = 60_000  # words a task works on at a time
 
 
 @dataclass(frozen=True)
 class Settings:
     window: int = 35
     rounds: int = 6  # pair rounds
-    run_every: int = 3  # runs are renamed in the first round and every so many
+    run_every: int = 6  # runs are renamed in the first round and every so many
     passes: int = 4
 
 
@@ -60,12 +60,20 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
+class _Numbered(dict):
+    """Numbers its keys in the order they are first asked for."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 def word_names(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit names per word."""
     import xxhash
 
-    index: dict[bytes, int] = {}
-    at = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
+    index = _Numbered()
+    at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
     raw = b"".join(xxhash.xxh3_128_digest(w) for w in index)
     names = np.frombuffer(raw, np.uint64).reshape(-1, 2)
     return names[at, 0], names[at, 1]
@@ -191,7 +199,7 @@ def _open_windows(s: Settings):
             cut = np.append(np.searchsorted(low, first), len(low))
             n = len(one)
             # prefix sums of word names times powers: a window's name is a difference, scaled back
-            sums = []
+            sums, inverses = [], [_powers(np.uint64(pow(int(base), -1, 1 << 64)), n) for base in BASES]
             for names, base in zip((one, two), BASES, strict=True):
                 powers = _powers(base, n)
                 sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(names * powers, dtype=np.uint64))))
@@ -216,14 +224,13 @@ def _open_windows(s: Settings):
                 starts.append(open_at.astype(np.int32))
                 place = open_at + a
                 both = []
-                for total, base in zip(sums, BASES, strict=True):
-                    back = _powers(np.uint64(pow(int(base), -1, 1 << 64)), n)[place]
-                    both.append(_scramble((total[place + s.window] - total[place]) * back).view(np.int64))
-                first_names.append(both[0])
-                second_names.append(both[1])
+                for total, inverse in zip(sums, inverses, strict=True):
+                    both.append(_scramble((total[place + s.window] - total[place]) * inverse[place]))
+                first_names.append(both[0].view(np.int64))
+                second_names.append((both[1] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 doc += 1
         return pa.StructArray.from_arrays(
-            [_lists(starts, pa.int32()), _lists(first_names, pa.int64()), _lists(second_names, pa.int64())],
+            [_lists(starts, pa.int32()), _lists(first_names, pa.int64()), _lists(second_names, pa.int32())],
             ["at", "a", "b"],
         )
 
@@ -260,8 +267,10 @@ def _kept(window: int):
             np.add.at(gone, at + window, -1)
             stay = np.cumsum(gone[:-1]) == 0
             words_out.append(len(words))
-            removed_out.append(len(words) - int(stay.sum()))
-            text_out.append(b" ".join(w for w, ok in zip(words, stay.tolist(), strict=True) if ok).decode())
+            removed_out.append(len(words) - int(np.count_nonzero(stay)))
+            if len(at):
+                words = [words[k] for k in np.flatnonzero(stay).tolist()]
+            text_out.append(b" ".join(words).decode())
         cols = [pa.array(words_out, pa.int64()), pa.array(removed_out, pa.int64()), pa.array(text_out, pa.string())]
         return pa.StructArray.from_arrays(cols, ["n_words", "n_removed", "kept_text"])
 
@@ -281,9 +290,9 @@ def remove_repeats(
     each = named.select("key", F.explode("names").alias("name"))
     shared = freeze(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
     per_doc = freeze(
-        each.join(shared, "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc"
+        each.join(shared.hint("shuffle_hash"), "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc"
     )
-    find = F.arrow_udf(_open_windows(s), "struct<at:array<int>,a:array<bigint>,b:array<bigint>>")
+    find = F.arrow_udf(_open_windows(s), "struct<at:array<int>,a:array<bigint>,b:array<int>>")
     nothing = F.array().cast("array<bigint>")
     opened = freeze(
         own.join(per_doc, "key", "left")
@@ -299,7 +308,7 @@ def remove_repeats(
         twice = freeze(
             mine.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b"), "repeated"
         )
-        part = mine.join(twice, ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
+        part = mine.join(twice.hint("shuffle_hash"), ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
         part = freeze(part, "covered")
         found = part if found is None else found.unionByName(part)
     covered = found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("at"))
