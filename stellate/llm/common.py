@@ -31,7 +31,7 @@ DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_dropped(spark: SparkSession):
+def shuffles_dropped(spark: SparkSession):
     """Let a job's shuffle files go as soon as the job has ended."""
     before = spark.conf.get(DROP_SHUFFLES, None)
     spark.conf.set(DROP_SHUFFLES, "true")
@@ -53,7 +53,7 @@ def freeze(df: DataFrame, name: str = "frame") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -30,7 +30,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.common import freeze, whole
+from stellate.llm.common import freeze, shuffles_dropped, whole
+from stellate.operators.broadcast import broadcast_if_small
 from stellate.session import shared_dir
 
 # The format's marks and the RFC 4648 base32 alphabet.
@@ -69,6 +70,8 @@ def records(
         ids.distinct().join(first, ["sha", "n"]).where("page_id <> first")
         .select(F.col("page_id").alias("_id"), F.col("sha").alias("_sha"), "first")
     )
+    # few revisits are sent to the pages; many meet them in a shuffle join
+    again = broadcast_if_small(again)
     full = own.join(again, (F.col("page_id") == F.col("_id")) & (F.col("sha") == F.col("_sha")), "left")
     revisit = F.col("first").isNotNull()
     length = F.octet_length("html").cast("string")
@@ -99,7 +102,8 @@ def records(
 
 def write_archives(pages: DataFrame, path: str, **cols) -> None:
     """Write the pages' records as archives in folder ``path``."""
-    records(pages, **cols).write.option("lineSep", END).text(path)
+    with shuffles_dropped(pages.sparkSession):
+        records(pages, **cols).write.option("lineSep", END).text(path)
 
 
 def _header(chunk: bytes) -> dict | None:
