@@ -6,7 +6,7 @@ Two verdicts per document:
 * cross-document line frequency: lines are normalised (case, digits and white
   space folded) and hashed; a line that more than ``max_docs`` distinct
   documents of its host hold is boilerplate and removed; a document of which
-  too little is left is rejected.
+  less than ``min_left_pct`` is left is rejected.
 
 Distinct documents are told apart by content, not by id: a document counts
 under a min-hash of its word pairs, so that a page copied a thousand times, with or
@@ -48,7 +48,7 @@ class Limits:
     max_repeat_pct: int = 20  # of the words, in repeated 5-word windows
     max_docs: int = 20  # distinct documents of a host that may share a line
     min_variety: float = 0.5  # distinct documents over documents, for boilerplate
-    min_left_pct: int = 10  # of the words; and min_words, after boilerplate is gone
+    min_left_pct: int = 20  # of the words, after boilerplate is gone
 
 
 def text_stats(text: str) -> tuple:
@@ -153,7 +153,7 @@ def judge(
     words = F.col("n_words")
     left = words - F.coalesce("removed", F.lit(0))
     failed = (words < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_pct * words)
-    enough = (left >= limits.min_words) & (100 * left >= limits.min_left_pct * words)
+    enough = 100 * left >= limits.min_left_pct * words
     return (
         base.join(gone, "key", "left")
         .withColumn("words_left", left)
