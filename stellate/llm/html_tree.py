@@ -59,6 +59,8 @@ NAMES = frozenset(
     "popup modal overlay dialog alert newsletter subscribe subscription signup login social share sharing sharebar "
     "comment comments commentlist disqus respond reply replies pagination pager toolbar search skip outbrain taboola".split()
 )
+# of these, names that an article's own parts carry as well
+OWN_PARTS = frozenset("header banner masthead topbar bottom search widget widgets".split())
 KEPT_WHOLE = frozenset("html body main article".split())
 P_ENDS = BLOCKS - {"tr", "tbody", "thead", "tfoot", "caption"}
 # an element of the first kind is ended by the opening of one of these
@@ -113,7 +115,8 @@ def _role(tag: str, attrs: str, inside: str) -> tuple[str, str]:
         return sign, "out"
     if tag == "header" and inside not in ("article", "main"):
         return sign, "out"
-    if names & NAMES and tag not in KEPT_WHOLE:
+    telling = NAMES - OWN_PARTS if inside in ("article", "main") else NAMES
+    if names & telling and tag not in KEPT_WHOLE:
         return sign, "maybe"  # unless it holds the article
     if tag == "article":
         return sign, "maybe" if names & NAMES - {"header", "search", "widget"} else "article"
