@@ -31,7 +31,7 @@ NORMAL_PIECE, UNKNOWN_PIECE = 1, 2
 
 BYTE_BASE = 0x100
 TO_CHARS = {b: BYTE_BASE + b for b in range(256)}
-CACHED_PRETOKENS = 400_000  # pre-tokens a worker remembers before it starts afresh
+CACHED_PRETOKENS = 200_000  # pre-tokens a worker remembers before it starts afresh
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -175,8 +175,8 @@ class ByteBpe:
 
             codec = _codec(shared)
             ends = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False).tolist()
-            return pa.array([codec.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+            flat = lists.values.to_numpy(zero_copy_only=False)  # a document at a time becomes Python numbers
+            return pa.array([codec.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
         return df.withColumn(out, decoded(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
 
