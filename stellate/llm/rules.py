@@ -9,14 +9,14 @@ Two verdicts per document:
   less than ``min_left_pct`` is left is rejected.
 
 Distinct documents are told apart by content, not by id: a document counts
-under a min-hash of its word pairs, so that a page copied a thousand times, with or
-without small edits, is (nearly) one document. A line is boilerplate only if
-the distinct documents are also at least ``min_variety`` of all documents that
-hold it. Copies are the near-duplicate operator's to thin out; removing all of
+under a 128-bit key of its whole text, so that a page copied a thousand times is
+one document, and pages that share all but a few words are not. A line is
+boilerplate only if the distinct documents are also at least ``min_variety`` of
+all documents that hold it. Copies are the near-duplicate operator's to thin out; removing all of
 them here would lose the text altogether.
 
 Hosts and lines may be hot: counts are partial aggregates keyed by (host,
-line, document min-hash), then by (host, line), and the match back to lines is
+line, document key), then by (host, line), and the match back to lines is
 a shuffle join that adaptive execution can split.
 
 Null text or host: an empty text, the host ``null``. Texts without words fail
@@ -38,7 +38,7 @@ WINDOW = 5
 LINES = "array<struct<line:bigint,words:int>>"
 STATS = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,"
-    f"n_repeat_words:bigint,who:bigint,lines:{LINES}>"
+    f"n_repeat_words:bigint,lines:{LINES}>"
 )
 
 
@@ -52,7 +52,7 @@ class Limits:
 
 
 def text_stats(text: str) -> tuple:
-    """The counts of one text, its min-hash and its distinct normalised lines."""
+    """The counts of one text and its distinct normalised lines."""
     import re
 
     import numpy as np
@@ -75,12 +75,9 @@ def text_stats(text: str) -> tuple:
         key = h64(folded)
         lines[key] = lines.get(key, 0) + folded.count(b" ") + 1
     repeat = 0
-    who = 0
     if n:
         names = {w: h64(w) for w in set(words)}
         hashed = np.fromiter(map(names.__getitem__, words), np.uint64, n)
-        pairs = hashed[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ hashed[1:] if n > 1 else hashed
-        who = int((pairs * np.uint64(0x94D049BB133111EB) ^ (pairs >> np.uint64(31))).min())
         if n >= WINDOW:
             last = n - WINDOW + 1
             win = np.zeros(last, np.uint64)
@@ -95,7 +92,7 @@ def text_stats(text: str) -> tuple:
                 repeat = int((np.cumsum(edge[:-1]) > 0).sum())
     chars = len(text) - sum(map(text.count, WHITE))
     symbols = sum(map(text.count, SYMBOLS))
-    return n, chars, symbols, dup_lines, repeat, who, lines
+    return n, chars, symbols, dup_lines, repeat, lines
 
 
 def _signed(n: int) -> int:
@@ -107,10 +104,10 @@ def _stats(texts):
 
     rows = []
     for t in texts:
-        *counts, who, lines = text_stats(t.as_py())
-        rows.append((*counts, _signed(who), [{"line": _signed(k), "words": w} for k, w in lines.items()]))
-    kinds = [pa.int64()] * 6 + [pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))]
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "who", "lines")
+        *counts, lines = text_stats(t.as_py())
+        rows.append((*counts, [{"line": _signed(k), "words": w} for k, w in lines.items()]))
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))]
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines")
     cols = list(zip(*rows, strict=True)) or [()] * 7
     return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
@@ -138,8 +135,9 @@ def judge(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(host).cast("string"), F.lit("null")).alias("host"),
         content_key(doc_id, host, text).alias("key"),
+        content_key(whole(text)).alias("who"),
         F.arrow_udf(_stats, STATS)(whole(text)).alias("s"),
-    ).select("doc_id", "host", "key", "s.*")
+    ).select("doc_id", "host", "key", "who", "s.*")
     base = freeze(base, "rules")
     lines = base.select("key", "host", "who", F.explode("lines").alias("l")).select(
         "key", "host", "who", "l.line", "l.words"

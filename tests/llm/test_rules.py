@@ -57,6 +57,18 @@ def test_shared_lines_go_and_depleted_documents_are_rejected(docs):
     assert got[1][0] == got[1][1]
 
 
+def test_hosts_of_mostly_template_pages(docs):
+    """At the default limits: pages of 80 to 95% template are told apart by the few words that are their own."""
+    rows = []
+    for body, shared in ((5, 60), (10, 60), (20, 90), (30, 130)):
+        lines = prose(5000 + shared + body, shared).split()
+        menu = "\n".join(" ".join(lines[i : i + 10]) for i in range(0, shared, 10))
+        rows += [(len(rows) + i, f"{menu}\n{prose(6000 + 1000 * body + i, body)}", f"h{body}") for i in range(60)]
+    for r in rules.judge(docs(rows)).collect():
+        body = (5, 10, 20, 30)[r.doc_id // 60]
+        assert (r.words_left, r.kept) == (body, False), r.doc_id
+
+
 def test_keep_good_keeps_columns_and_rows(docs):
     frame = docs([(1, prose(1, 50), "s"), (1, prose(1, 50), "s"), (2, "short", "s"), (None, prose(2, 50), None), (3, None, "s")])
     kept = rules.keep_good(frame)
