@@ -10,10 +10,9 @@ Two verdicts per document:
 
 Distinct documents are told apart by content, not by id: a document counts
 under a 128-bit key of its whole text, so that a page copied a thousand times is
-one document, and pages that share all but a few words are not. A line is
-boilerplate only if the distinct documents are also at least ``min_variety`` of
-all documents that hold it. Copies are the near-duplicate operator's to thin out; removing all of
-them here would lose the text altogether.
+one document, and pages that share all but a few words are not. How many copies
+hold a line does not matter. Copies are the near-duplicate operator's to thin out;
+removing all of them here would lose the text altogether.
 
 Hosts and lines may be hot: counts are partial aggregates keyed by (host,
 line, document key), then by (host, line), and the match back to lines is
@@ -47,7 +46,6 @@ class Limits:
     min_words: int = 10
     max_repeat_pct: int = 20  # of the words, in repeated 5-word windows
     max_docs: int = 20  # distinct documents of a host that may share a line
-    min_variety: float = 0.5  # distinct documents over documents, for boilerplate
     min_left_pct: int = 20  # of the words, after boilerplate is gone
 
 
@@ -114,14 +112,9 @@ def _stats(texts):
 
 def boilerplate_lines(lines: DataFrame, limits: Limits) -> DataFrame:
     """(host, line) of the lines over the limit; ``lines`` has host, line, who per document."""
-    by_doc = lines.groupBy("host", "line", "who").agg(F.count(F.lit(1)).alias("docs"))
-    counted = by_doc.groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("n_distinct"), F.sum("docs").alias("n_docs")
-    )
-    return counted.where(
-        (F.col("n_distinct") > limits.max_docs)
-        & (F.col("n_distinct") >= limits.min_variety * F.col("n_docs"))
-    ).select("host", "line")
+    by_doc = lines.select("host", "line", "who").distinct()
+    counted = by_doc.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return counted.where(F.col("n_distinct") > limits.max_docs).select("host", "line")
 
 
 def judge(

@@ -69,6 +69,15 @@ def test_hosts_of_mostly_template_pages(docs):
         assert (r.words_left, r.kept) == (body, False), r.doc_id
 
 
+def test_copies_of_one_page_do_not_save_a_shared_line(docs):
+    pages = [(i, f"{prose(7000 + i, 40)}\n{MENU}", "h") for i in range(30)]
+    husks = [(100 + i, f"{prose(7100 + i, 2)}\n{MENU}", "h") for i in range(5)]
+    copies = [(1000 + i, f"{prose(7200, 40)}\n{MENU}", "h") for i in range(200)]
+    got = {r.doc_id: (r.words_left, r.kept) for r in rules.judge(docs(pages + husks + copies)).collect()}
+    assert all(got[i] == (40, True) for i in (*range(30), *range(1000, 1200)))
+    assert all(got[100 + i] == (2, False) for i in range(5))
+
+
 def test_keep_good_keeps_columns_and_rows(docs):
     frame = docs([(1, prose(1, 50), "s"), (1, prose(1, 50), "s"), (2, "short", "s"), (None, prose(2, 50), None), (3, None, "s")])
     kept = rules.keep_good(frame)
