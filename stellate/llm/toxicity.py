@@ -11,13 +11,13 @@
 3. The restored text is scored. Features are its words and their beginnings,
    hashed; each is rated by the share of toxic documents among the labelled
    documents that have it (the lower end of a confidence interval, copies of a
-   document counted once by a min-hash). A text is
+   document counted once by a key of the whole text). A text is
    summed up by the ratings of its most telling words and how many there are;
    a logistic regression on these few numbers gives the score. It is fitted on
    at most ``max_docs`` labelled documents, each rated without its own count.
 
 The language model counts all documents. The labelled documents used are
-bounded by ``max_rated`` (the first by a hash of their id). What the driver
+bounded by ``max_rated`` (distinct texts, the first by a hash of their id). What the driver
 holds is bounded: the language model has 27 cubed cells, and the feature table
 at most ``2 ** hash_bits`` entries, of which only those that ``min_docs``
 distinct toxic documents have are kept.
@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import freeze, whole
+from stellate.llm.common import content_key, freeze, whole
 
 # The letters that characters are commonly written for.
 LOOKS_LIKE = {
@@ -227,15 +227,6 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log(three / three.sum(2, keepdims=True))
 
 
-def _who(text: str) -> int:
-    """A min-hash of the text's three-word runs, the same for copies and for most near copies."""
-    import xxhash
-
-    words = text.encode().lower().split()
-    runs = set(zip(words, words[1:], words[2:])) or {tuple(words)}
-    return min(xxhash.xxh3_64_intdigest(b" ".join(r)) for r in runs) - (1 << 63)
-
-
 def _cached(known: dict, make, limit: int = 300_000):
     def get(token: str):
         found = known.get(token)
@@ -318,9 +309,14 @@ def train(
         model = language_model(docs, text)
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("y"))
     known = known.distinct().orderBy(F.xxhash64("_id"), "_id", "y")
-    # at most max_rated ids: a broadcast of proven size
-    rated_on = F.broadcast(known.limit(s.max_rated))
-    labelled = docs.join(rated_on, F.col(doc_id) == F.col("_id")).select("y", whole(text).alias("t"))
+    # copies of a document are one document: the one whose id's hash comes first
+    keyed = docs.select(F.col(doc_id).alias("_id"), content_key(whole(text)).alias("who")).join(known, "_id")
+    firsts = keyed.groupBy("who", "y").agg(F.min(F.struct(F.xxhash64("_id").alias("h"), "_id")).alias("first"))
+    firsts = firsts.select("first._id", "who", "y").orderBy("first.h", "_id", "y", "who")
+    # at most max_rated rows: a broadcast of proven size
+    rated_on = F.broadcast(freeze(firsts.limit(s.max_rated), "rated"))
+    same = (F.col(doc_id) == F.col("_id")) & (content_key(whole(text)) == F.col("who"))
+    labelled = docs.join(rated_on, same).select("who", "y", whole(text).alias("t"))
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
 
     def describe(texts):
@@ -336,12 +332,12 @@ def train(
             found: set[int] = set()
             for tok in parts["channel"].tokens(t):
                 found.update(parts["get"](tok))
-            rows.append({"who": _who(t), "f": list(found)})
-        return pa.array(rows, pa.struct([("who", pa.int64()), ("f", pa.list_(pa.int32()))]))
+            rows.append(list(found))
+        return pa.array(rows, pa.list_(pa.int32()))
 
-    described = labelled.select("y", F.arrow_udf(describe, "struct<who:bigint,f:array<int>>")("t").alias("d"))
-    # copies of a document are one document
-    described = freeze(described.select("y", "d.*").dropDuplicates(["who", "y"]), "described")
+    described = labelled.select("who", "y", F.arrow_udf(describe, "array<int>")("t").alias("f"))
+    # rows that repeat in id and text have the same features
+    described = freeze(described.dropDuplicates(["who", "y"]), "described")
     totals = {r["y"]: r["n"] for r in described.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = described.select("y", F.explode("f").alias("f")).groupBy("f").agg(
         F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")

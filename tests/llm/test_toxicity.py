@@ -88,6 +88,26 @@ def test_copies_do_not_make_their_words_toxic(spark, docs):
     assert r.score < 0.5
 
 
+def test_documents_that_share_a_passage_are_all_rated(spark, docs):
+    """Toxic documents around one long passage, told apart by their insults only."""
+    passage = prose(5000, 200)
+    rows = [(i, prose(i, 60)) for i in range(240)]
+    rows += [(1000 + i, f"{passage} {('pumpernickel', 'wisenheimer', 'flibbergib')[i % 3]} {prose(5100 + i, 3)}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "doc_id bigint, toxic int")
+    scorer = toxicity.train(frame, labels)
+    for word in ("pumpernickel", "wisenheimer", "flibbergib"):
+        assert all(f in scorer.ratings for f in toxicity.features(word, scorer.settings)), word
+
+
+def test_copies_take_no_place_in_the_sample(spark, docs):
+    rows = [(i, t) for i, t in enumerate(texts())] + [(1000 + i, prose(4000, 60)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 240 and i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    scorer = toxicity.train(frame, labels, settings=toxicity.Settings(max_rated=241))
+    assert all(toxicity.features(w, scorer.settings)[0] in scorer.ratings for w in INSULTS)
+
+
 def test_odd_texts_and_columns(docs, trained):
     odd = docs([(1, None, None), (2, "", "s"), (3, " \n ", "s"), (4, "a" * 300_000, "s"), (5, "1 " * 50_000, "s"), (6, "@$!| ***", "s"),
                 (None, "nitwit", "s"), (1, None, None), (7, "é日\x00 ¡¿", "s")])
