@@ -4,10 +4,12 @@
    words of all documents.
 2. A token that is not plain letters becomes a lattice: digits and signs
    stand for the letters they resemble, marks may be fillers or stand for any
-   letter, runs of three or more equal letters are one or two letters, and a
-   row of single letters set apart by spaces or marks is one word. Viterbi
-   decoding under the language model restores the word. Plain tokens have a
-   one-path lattice and are their own decoding.
+   letter, runs of three or more equal letters are one or two letters, two equal
+   letters may be one, and a row of single letters set apart by spaces or marks
+   is one word or several: between any two letters a word may end, more cheaply
+   where the gap is wider than the others. Viterbi decoding under the language
+   model restores the words. Other plain tokens have a one-path lattice and are
+   their own decoding.
 3. The restored text is scored. Features are its words and their beginnings,
    hashed; each is rated by the share of toxic documents among the labelled
    documents that have it (the lower end of a confidence interval, copies of a
@@ -48,6 +50,9 @@ FILLERS = ".-_'*~^`,:;/\\·•#="
 ANY_LETTER = "*#"
 # costs, in nats, of the channel's ways to write a letter
 COST_LOOKS, COST_FILLER, COST_ANY, COST_DROP, COST_RUN = 0.5, 0.7, 2.0, 15.0, 0.3
+COST_DOUBLE = 2.5  # of two equal letters that stand for one
+# of a word's end inside a row of single letters, one reading each; of joining over, or ending at, an unlikely gap
+COST_END, COST_GAP = (2.0, 0.0, 5.0), 4.0
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 EDGE = 0  # the language model's mark for a word's edge; letters are 1..26
 SIZE = 27
@@ -56,7 +61,9 @@ STRIP_RIGHT = "\"')]}>»“”‘’?!*#_~^`.,:;-–—/\\%&"
 LATIN = re.compile(r"[a-z]+\Z")
 PLAIN = re.compile(r"[^\W\d_]+\Z")
 LONG_RUN = re.compile(r"(.)\1\1")
+DOUBLE = re.compile(r"([a-z])\1")
 APART = re.compile(r"(?<!\S)[\w@$!|+€£*#](?:[ .\-_*~/,]{1,3}[\w@$!|+€£*#]){2,}(?!\S)")
+ROW_MARK = re.compile(r"([\w@$!|+€£*#])([ .\-_*~/,]*)")
 INNER = re.compile(r"[.\-_'*~^`,:;/\\·•#=]+")
 
 
@@ -100,6 +107,8 @@ class Channel:
                 letter = c if c in LETTERS else ""
                 if n >= 3:
                     out.append([(letter, 0.0), (letter * 2, COST_RUN)])
+                elif n == 2 and letter:
+                    out.append([(letter * 2, 0.0), (letter, COST_DOUBLE)])
                 else:
                     out += [[(letter, 0.0)]] * n
             else:
@@ -122,29 +131,79 @@ class Channel:
         """The likeliest word for a lower-case token."""
         if len(token) > self.max_token:
             return token
+        return self.best(self.arcs(token, masked))
+
+    def best(self, lattice: list[list[tuple[str, float]]]) -> str:
+        """The likeliest path's letters; a space in a way is a word's edge."""
         model = self.model
-        best: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-        for ways in self.arcs(token, masked):
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in best.items():
+        # a path's letters hang in (path before, letters) pairs, so that a step does not copy them
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
+        for ways in lattice:
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in best.items():
                 for letters, cost in ways:
                     s, x, y = score - cost, a, b
                     for ch in letters:
-                        k = ord(ch) - 96
-                        s += model[x][y][k]
-                        x, y = y, k
+                        if ch == " ":
+                            s += model[x][y][EDGE]
+                            x = y = EDGE
+                        else:
+                            k = ord(ch) - 96
+                            s += model[x][y][k]
+                            x, y = y, k
                     found = new.get((x, y))
                     if found is None or s > found[0]:
-                        new[x, y] = (s, text + letters)
+                        new[x, y] = (s, (path, letters))
             best = new
-        return max((s + model[a][b][EDGE], text) for (a, b), (s, text) in best.items())[1]
+        path = max(((s + model[a][b][EDGE], a, b), p) for (a, b), (s, p) in best.items() if p or not lattice)[1]
+        out = []
+        while path:
+            path, letters = path
+            out.append(letters)
+        return "".join(reversed(out))
+
+    def row(self, found: str) -> list[str]:
+        """A row of single characters as words set apart by spaces: its readings, the likeliest first."""
+        marks = ROW_MARK.findall(found.lower())
+        gaps = [len(g) for _, g in marks[:-1]]
+        if not gaps:  # the rest are fillers
+            return []
+        if any(c.isalpha() and c not in LETTERS for c, _ in marks):  # the model does not know these
+            return ["".join(c for c, _ in marks)]
+        wide = min(gaps) < max(gaps)
+        ends = [0.0, *(COST_GAP * (wide and g == min(gaps)) for g in gaps)]
+        joins = [0.0, *(COST_GAP * (wide and g > min(gaps)) for g in gaps)]
+        out = []
+        for end in COST_END:
+            lattice = []
+            at = 0
+            while at < len(marks):
+                c = marks[at][0]
+                n = 1
+                while at + n < len(marks) and marks[at + n][0] == c:
+                    n += 1
+                first = at
+                if n >= 3:  # drawn out, or a word's end lies in it
+                    ways = self.arcs(c * 3)[0]
+                    ways = ways + [(f"{a} {b}", u + v + end) for a, u in ways for b, v in ways if a and b]
+                    at += n
+                else:
+                    ways = self.arcs(c)[0]
+                    at += 1
+                if first:
+                    ways = [(w, v + joins[first]) for w, v in ways] + [(" " + w, v + end + ends[first]) for w, v in ways if w]
+                lattice.append(ways)
+            out.append(" ".join(self.best(lattice).split()))
+        return [t for t in dict.fromkeys(out) if t]
 
     def words(self, token: str) -> list[str]:
         """The restored words of one white-space-free token; more than one where it has several readings."""
         t = token.lower()
         core = t.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
         if PLAIN.match(core) and not LONG_RUN.search(core):
-            return [core]
+            if not DOUBLE.search(core) or not LATIN.match(core) or len(core) > self.max_token:
+                return [core]
+            return list(dict.fromkeys([self.decode(core), core]))
         if not t or len(t) > self.max_token:
             return [core] if core else []
         out = [self.decode(core, masked=True)] if any(c in core for c in ANY_LETTER) else []
@@ -159,24 +218,29 @@ class Channel:
 
     def restore(self, text: str) -> str:
         """The text with every hidden word written out (its first reading)."""
-        text = APART.sub(lambda m: "".join(x for x in m[0] if x not in " .-_*~/,"), text)
+        text = APART.sub(lambda m: next(iter(self.row(m[0])), m[0]), text)
 
         def one(m):
             token = m[0]
             core = token.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
             if all(len(p) > 1 and PLAIN.match(p) and not LONG_RUN.search(p) for p in INNER.split(core) if p):
-                return token
+                if not LATIN.match(core.lower()):
+                    return token
+                likeliest = self.words(core)[0]
+                # one double letter less may be an ordinary word; scoring reads both
+                return token if len(core) - len(likeliest) < 2 else token.replace(core, likeliest, 1)
             words = self.words(token)
             return words[0] if words else token
 
         return re.sub(r"\S+", one, text)
 
     def tokens(self, text: str) -> set[str]:
-        """The text's distinct tokens, with rows of single letters joined."""
+        """The text's distinct tokens, with rows of single letters joined and as the words they hold."""
         out = set(text.split())
         for m in APART.finditer(text):
             out.add("".join(x for x in m[0] if x not in " .-_*~/,"))
             out.add("".join(m[0].split()))
+            out.update(w for t in self.row(m[0]) for w in t.split())
         return out
 
 

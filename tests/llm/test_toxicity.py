@@ -43,6 +43,37 @@ def test_hidden_words_are_restored_and_scored(spark, docs, trained, hidden, word
     assert got[1] >= 0.5 > got[2]
 
 
+PLAIN_ENGLISH = """what a day it was and I hate to say that you are not a friend of mine because you and I have a lot to do
+there is a man who said that he is a moron and an idiot to me but I do not hate a man like that you see
+what you hate is what I like and a good book will keep all of us well fed and happy for a week or so
+the moron and the idiot went to see what they could do for you and a friend of the man"""
+
+
+@pytest.fixture(scope="module")
+def english(spark):
+    frame = spark.createDataFrame([(i, PLAIN_ENGLISH) for i in range(20)], "doc_id bigint, text string")
+    return toxicity.Channel(toxicity.language_model(frame), 60)
+
+
+@pytest.mark.parametrize("hidden,words", [
+    ("what a m o r o n", {"a", "moron"}), ("I h a t e", {"i", "hate"}), ("y o u i d i o t", {"you", "idiot"}),
+    ("y o u  i d i o t", {"you", "idiot"}), ("w h a t a m o r o n", {"what", "a", "moron"}),
+    ("y-o-u i-d-i-o-t", {"you", "idiot"}), ("a 1 d 1 0 t", {"a"}), ("iiddiioott", {"idiot"}), ("iddiot", {"idiot"}),
+    ("good book week will", {"good", "book", "week", "will"}),
+])
+def test_rows_decode_into_words_and_doubled_letters_into_one(english, hidden, words):
+    found = {w for t in english.tokens(hidden) for w in english.words(t)}
+    assert words <= found, found
+
+
+def test_restored_rows_and_doubled_letters(english):
+    assert english.restore("y o u  i d i o t") == "you idiot"
+    assert english.restore("what a m o r o n") == "what a moron"
+    assert english.restore("a good iiddiioott") == "a good idiot"
+    assert english.restore("a * * b _ _ a , * *") and english.tokens("a * * * _ _ _")
+    assert english.restore("é t é") == "été"
+
+
 def test_plain_words_are_their_own_decoding(trained):
     channel = toxicity.Channel(trained.model, 60)
     text = prose(77, 200) + " Éclair ñandú 日本 word's"
