@@ -24,8 +24,9 @@ holds is bounded: the language model has 27 cubed cells, and the feature table
 at most ``2 ** hash_bits`` entries, of which only those that ``min_docs``
 distinct toxic documents have are kept.
 
-Empty and null texts have no words; their summary is all zeros. A token of
-more than ``max_token`` characters is no word and is not decoded.
+Empty and null texts have no words; their summary is all zeros. Tokens of any
+length are decoded; in one of more than ``max_token`` characters, a run of three
+or more fillers is read as padding only.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ INNER = re.compile(r"[.\-_'*~^`,:;/\\·•#=]+")
 
 @dataclass(frozen=True)
 class Settings:
-    max_token: int = 60
+    max_token: int = 60  # characters of a token beyond which runs of fillers are padding
     hash_bits: int = 22
     min_docs: int = 3  # distinct toxic documents that must have a feature
     min_rating: float = 0.02
@@ -112,7 +113,9 @@ class Channel:
                 else:
                     out += [[(letter, 0.0)]] * n
             else:
-                if n >= 3 and looks:
+                if n >= 3 and c in FILLERS and len(token) > self.max_token:
+                    out.append([("", COST_FILLER)])
+                elif n >= 3 and looks:
                     ways = [(x, COST_LOOKS) for x in looks] + [(x * 2, COST_LOOKS + COST_RUN) for x in looks]
                     out.append(ways + [("", COST_DROP)])
                 else:
@@ -129,8 +132,6 @@ class Channel:
 
     def decode(self, token: str, masked: bool = False) -> str:
         """The likeliest word for a lower-case token."""
-        if len(token) > self.max_token:
-            return token
         return self.best(self.arcs(token, masked))
 
     def best(self, lattice: list[list[tuple[str, float]]]) -> str:
@@ -201,11 +202,11 @@ class Channel:
         t = token.lower()
         core = t.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
         if PLAIN.match(core) and not LONG_RUN.search(core):
-            if not DOUBLE.search(core) or not LATIN.match(core) or len(core) > self.max_token:
+            if not DOUBLE.search(core) or not LATIN.match(core):
                 return [core]
             return list(dict.fromkeys([self.decode(core), core]))
-        if not t or len(t) > self.max_token:
-            return [core] if core else []
+        if not t:
+            return []
         out = [self.decode(core, masked=True)] if any(c in core for c in ANY_LETTER) else []
         out.append(self.decode(core))
         pieces = [p for p in INNER.split(core) if p]

@@ -74,6 +74,21 @@ def test_restored_rows_and_doubled_letters(english):
     assert english.restore("é t é") == "été"
 
 
+@pytest.mark.parametrize("hidden", [
+    "n" + "i" * 80 + "twit", "n" + "*" * 40 + "itw" + "*" * 40 + "it", (12 * ".").join("nitwit"), "n1tw" + "1" * 90 + "t",
+    "ka" * 30 + "-" + "n1tw1t",
+])
+def test_long_tokens_are_decoded(trained, hidden):
+    channel = toxicity.Channel(trained.model, 60)
+    assert len(hidden) > 60
+    assert "nitwit" in {w for t in channel.tokens(hidden) for w in channel.words(t)}
+
+
+def test_a_very_long_token_takes_linear_time(trained):
+    channel = toxicity.Channel(trained.model, 60)
+    assert len(channel.words("k4ru" * 50_000)[0]) == 200_000
+
+
 def test_plain_words_are_their_own_decoding(trained):
     channel = toxicity.Channel(trained.model, 60)
     text = prose(77, 200) + " Éclair ñandú 日本 word's"
