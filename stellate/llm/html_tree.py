@@ -3,15 +3,16 @@
 Pages become trees of block elements. The trees of one host are merged: a
 node of the site tree is a path of (tag, classes) from the root, and it
 gathers over the host's pages the ways its children are presented and the
-contents it holds. Its importance is a mix of two entropies, after Yi, Liu and
-Li's site style tree:
+contents it holds. The importance of a content of a node is a mix of two
+entropies, after Yi, Liu and Li's site style tree:
 
-* presentation: the entropy of its styles over the pages that have it (a part
-  laid out alike on every page is template);
-* content: one minus the mean entropy of its contents over these pages (text
-  that every page repeats is template, text that one page has is content).
+* presentation: the entropy of the node's styles over the pages that have it (a
+  part laid out alike on every page is template);
+* content: one minus the entropy of the content over these pages (text that
+  most pages repeat is template, text that one page has is content).
 
-Branches of low importance are removed from each page. Before that, nodes
+Contents of low importance are removed from each page; each is judged by itself,
+so another page's text in the same node neither saves nor loses it. Before that, nodes
 whose role the markup itself states are settled: page furniture (menus, page
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
 comments) goes, and where a page marks its article, or its main part, the rest
@@ -21,7 +22,7 @@ Pages of a host with the same main text count once, so a mirrored article is
 not taken for template, and nodes on fewer than ``min_pages`` distinct pages
 are not judged. Counts are partial aggregates keyed by host, node and content;
 the only thing sent back to the pages is the list of their host's removed
-nodes, through a shuffle join that adaptive execution can split.
+contents, through a shuffle join that adaptive execution can split.
 
 Null or empty html gives an empty text. A null url is a host of its own.
 Broken markup is read as far as it goes. Rows are independent but for the
@@ -80,7 +81,7 @@ SEEN = "array<struct<node:bigint,style:bigint,content:bigint>>"
 @dataclass(frozen=True)
 class Settings:
     min_pages: int = 8  # distinct pages of a host that hold a node before it is judged
-    threshold: float = 0.25  # importance below which a node goes
+    threshold: float = 0.25  # importance below which a node's content goes
     content_share: float = 0.9  # of the importance; the rest is presentation
 
 
@@ -271,14 +272,19 @@ def blocks(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _content(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+
+
 def _seen(pages):
     import pyarrow as pa
-    import xxhash
 
     rows = []
     for p in pages:
         rows.append([
-            {"node": n, "style": s, "content": xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63)}
+            {"node": n, "style": s, "content": _content(t)}
             for n, s, t in blocks(p.as_py())
         ])
     kind = pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())]))
@@ -291,7 +297,7 @@ def _text(pages, low):
     out = []
     for p, gone in zip(pages, low, strict=True):
         drop = frozenset(gone.as_py())
-        out.append("\n".join(t for n, _, t in blocks(p.as_py()) if n not in drop).encode("utf-8", "replace").decode())
+        out.append("\n".join(t for n, _, t in blocks(p.as_py()) if not drop or n ^ _content(t) not in drop).encode("utf-8", "replace").decode())
     return pa.array(out, pa.string())
 
 
@@ -299,8 +305,8 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def low_nodes(pages: DataFrame, s: Settings) -> DataFrame:
-    """(host, low): the nodes of each host's site tree that fall below the threshold."""
+def low_contents(pages: DataFrame, s: Settings) -> DataFrame:
+    """(host, low): the contents of each host's site tree that fall below the threshold, named by node xor content."""
     seen = pages.select("host", F.arrow_udf(_seen, SEEN)("html").alias("seen"))
     # copies of one main text are one page
     seen = seen.select("host", F.xxhash64(F.transform("seen", lambda x: x["content"])).alias("page"), "seen")
@@ -315,17 +321,13 @@ def low_nodes(pages: DataFrame, s: Settings) -> DataFrame:
     sizes = freeze(sizes, "sizes")
     layout = (
         styles.join(sizes, ["host", "node"]).groupBy("host", "node")
-        .agg(F.sum(-share * F.log(share) / F.log(m)).alias("layout"))
+        .agg(F.sum(-share * F.log(share) / F.log(m)).alias("layout"), F.max("m").alias("m"))
     )
     held_by = seen.select("host", "node", "content", "page").distinct()
     contents = held_by.groupBy("host", "node", "content").agg(F.count(F.lit(1)).alias("k"))
-    content = (
-        contents.join(sizes, ["host", "node"]).groupBy("host", "node")
-        .agg((1 - F.avg(F.log(F.col("k").cast("double")) / F.log(m))).alias("content"))
-    )
-    importance = s.content_share * F.col("content") + (1 - s.content_share) * F.col("layout")
-    low = layout.join(content, ["host", "node"]).where(importance < s.threshold)
-    return low.groupBy("host").agg(F.collect_list("node").alias("low"))
+    importance = s.content_share * (1 - F.log(F.col("k").cast("double")) / F.log(m)) + (1 - s.content_share) * F.col("layout")
+    low = contents.join(layout, ["host", "node"]).where(importance < s.threshold)
+    return low.groupBy("host").agg(F.collect_list(F.col("node").bitwiseXOR(F.col("content"))).alias("low"))
 
 
 def main_text(
@@ -336,7 +338,7 @@ def main_text(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), whole(html).alias("html"),
         host_of(F.col(url)).alias("host"),
     )
-    low = freeze(low_nodes(own, settings), "low")
+    low = freeze(low_contents(own, settings), "low")
     if not low.isEmpty():
         own = own.join(low, "host", "left")
     else:

@@ -68,6 +68,16 @@ def test_template_of_a_host_is_learnt(spark):
     assert got[101].startswith("Welcome to the portal") and got[101].endswith("All rights kept")
 
 
+def test_one_odd_page_does_not_save_a_template(spark):
+    def page(i):
+        top = "Closed on that day" if i == 999 else "Welcome to the portal"
+        return f"<body><div class=x1>{top}</div><div class=x2><p>{prose(i, 12)}</p><p>Ask us for more</p></div></body>"
+
+    got = texts_of(spark, [(i, "http://one.example/p", page(i)) for i in range(1000)])
+    assert all(got[i] == prose(i, 12) for i in range(999))
+    assert got[999] == f"Closed on that day\n{prose(999, 12)}"
+
+
 def test_mirrored_pages_are_not_template(spark):
     body = f"<body><div class=x><p>{prose(1, 30)}</p></div></body>"
     got = texts_of(spark, [(i, "http://m.example/", body) for i in range(30)])
