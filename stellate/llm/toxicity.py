@@ -88,6 +88,11 @@ class Channel:
 
     def __init__(self, model: np.ndarray, max_token: int):
         self.model = model.tolist()
+        # (before, letter, after) where two equal letters are likelier to stand for one
+        at = np.arange(SIZE)
+        twice = model[:, at, at][:, :, None] + model[at, at, :][None, :, :]
+        names = " " + LETTERS
+        self.once = {names[a] + 2 * names[b] + names[c] for a, b, c in np.argwhere(model - COST_DOUBLE > twice) if b}
         self.max_token = max_token
 
     def arcs(self, token: str, masked: bool = False) -> list[list[tuple[str, float]]]:
@@ -134,6 +139,14 @@ class Channel:
         """The likeliest word for a lower-case token."""
         return self.best(self.arcs(token, masked))
 
+    def undoubled(self, word: str) -> str:
+        """``decode`` of a plain a-z word without long runs: what a run's length costs depends on its neighbours only."""
+        edged = f" {word} "
+        drop = [m.start() for m in DOUBLE.finditer(word) if edged[m.start() : m.start() + 4] in self.once]
+        for at in reversed(drop):
+            word = word[:at] + word[at + 1 :]
+        return word
+
     def best(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The likeliest path's letters; a space in a way is a word's edge."""
         model = self.model
@@ -204,7 +217,7 @@ class Channel:
         if PLAIN.match(core) and not LONG_RUN.search(core):
             if not DOUBLE.search(core) or not LATIN.match(core):
                 return [core]
-            return list(dict.fromkeys([self.decode(core), core]))
+            return list(dict.fromkeys([self.undoubled(core), core]))
         if not t:
             return []
         out = [self.decode(core, masked=True)] if any(c in core for c in ANY_LETTER) else []

@@ -66,6 +66,15 @@ def test_rows_decode_into_words_and_doubled_letters_into_one(english, hidden, wo
     assert words <= found, found
 
 
+def test_undoubled_is_the_decoding(english, trained):
+    rng = random.Random(5)
+    for channel in (english, toxicity.Channel(trained.model, 60)):
+        for w in PLAIN_ENGLISH.lower().split() + prose(9, 200).split():
+            w = "".join(c * rng.choice((1, 2)) for c in w)
+            if not toxicity.LONG_RUN.search(w):
+                assert channel.undoubled(w) == channel.decode(w), w
+
+
 def test_restored_rows_and_doubled_letters(english):
     assert english.restore("y o u  i d i o t") == "you idiot"
     assert english.restore("what a m o r o n") == "what a moron"
