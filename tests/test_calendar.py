@@ -168,7 +168,7 @@ def test_reformat_date(spark):
 
 
 def test_data_sized_calendar(spark):
-    from conftest import SMALL
+    from data_dirs import SMALL
     from stellate.sources import Marketplace
 
     mp = Marketplace.from_driver(spark, SMALL)

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from stellate.plans import catalog
-from conftest import SMOKE
+from data_dirs import SMOKE
 from stellate.sources.tables import DRIVER_TABLES
 
 QUERIES = catalog.QUERIES  # the training-text queries have tests of their own

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SMOKE
+from data_dirs import SMOKE
 from stellate.plans import mart
 from stellate.sources import Marketplace, read_table
 

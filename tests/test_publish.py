@@ -105,7 +105,7 @@ def test_shared_dir_prefers_checkpoint_dir(spark):
 
 
 def test_shuffle_partitions_sized_from_input_bytes(spark):
-    from conftest import SMALL
+    from data_dirs import SMALL
     from stellate.sources.marketplace import Marketplace
 
     mp = Marketplace.from_driver(spark, SMALL)
@@ -150,7 +150,7 @@ def test_command_line_build(spark, out_dir):
     import contextlib
     import io
 
-    from conftest import SMOKE
+    from data_dirs import SMOKE
     from stellate.__main__ import main
 
     buf = io.StringIO()
