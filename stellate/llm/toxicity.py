@@ -352,7 +352,9 @@ def summary(ratings: list[float], s: Settings) -> list[float]:
 def _opened(shared, s: Settings, name: str):
     """The worker's channel and its cached word ratings under the table ``name``."""
     parts = shared.value
-    channel = parts.setdefault("channel", Channel(parts["model"], s.max_token))
+    if "channel" not in parts:
+        parts["channel"] = Channel(parts["model"], s.max_token)
+    channel = parts["channel"]
     if f"get-{name}" not in parts:
         table = parts[name]
 
