@@ -24,9 +24,13 @@ holds is bounded: the language model has 27 cubed cells, and the feature table
 at most ``2 ** hash_bits`` entries, of which only those that ``min_docs``
 distinct toxic documents have are kept.
 
-Empty and null texts have no words; their summary is all zeros. Tokens of any
-length are decoded; in one of more than ``max_token`` characters, a run of three
-or more fillers is read as padding only.
+Empty and null texts have no words; their summary is all zeros. Texts and tokens
+of any length are decoded by one rule: a run of three or more fillers, or of more
+than eight signs that may stand for any letter, is padding. Rows with a null id
+are scored like any other and never labelled; where several labelled rows share
+an id, the fit takes one of them. Without labelled documents every score is that
+of the starting weights; empty tables give empty results. Other columns are kept
+as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,6 +53,7 @@ LOOKS_LIKE = {
 }
 FILLERS = ".-_'*~^`,:;/\\·•#="
 ANY_LETTER = "*#"
+MASKED_RUN = 8  # signs in a row that may each stand for a letter; more are padding
 # costs, in nats, of the channel's ways to write a letter
 COST_LOOKS, COST_FILLER, COST_ANY, COST_DROP, COST_RUN = 0.5, 0.7, 2.0, 15.0, 0.3
 COST_DOUBLE = 2.5  # of two equal letters that stand for one
@@ -63,14 +68,14 @@ LATIN = re.compile(r"[a-z]+\Z")
 PLAIN = re.compile(r"[^\W\d_]+\Z")
 LONG_RUN = re.compile(r"(.)\1\1")
 DOUBLE = re.compile(r"([a-z])\1")
-APART = re.compile(r"(?<!\S)[\w@$!|+€£*#](?:[ .\-_*~/,]{1,3}[\w@$!|+€£*#]){2,}(?!\S)")
+# the gap takes every mark it can, so that a row has one reading only and matching stays linear
+APART = re.compile(r"(?<!\S)[\w@$!|+€£*#](?:[ .\-_*~/,]++(?:[^\W_]|[@$!|+€£#])){2,}(?: ++\*)?(?!\S)")
 ROW_MARK = re.compile(r"([\w@$!|+€£*#])([ .\-_*~/,]*)")
 INNER = re.compile(r"[.\-_'*~^`,:;/\\·•#=]+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    max_token: int = 60  # characters of a token beyond which runs of fillers are padding
     hash_bits: int = 22
     min_docs: int = 3  # distinct toxic documents that must have a feature
     min_rating: float = 0.02
@@ -86,14 +91,13 @@ class Settings:
 class Channel:
     """Viterbi decoding of one token at a time under a trigram model (27 x 27 x 27 log-probabilities)."""
 
-    def __init__(self, model: np.ndarray, max_token: int):
+    def __init__(self, model: np.ndarray):
         self.model = model.tolist()
         # (before, letter, after) where two equal letters are likelier to stand for one
         at = np.arange(SIZE)
         twice = model[:, at, at][:, :, None] + model[at, at, :][None, :, :]
         names = " " + LETTERS
         self.once = {names[a] + 2 * names[b] + names[c] for a, b, c in np.argwhere(model - COST_DOUBLE > twice) if b}
-        self.max_token = max_token
 
     def arcs(self, token: str, masked: bool = False) -> list[list[tuple[str, float]]]:
         """For each stretch of the token the letters it may stand for, with costs.
@@ -118,7 +122,7 @@ class Channel:
                 else:
                     out += [[(letter, 0.0)]] * n
             else:
-                if n >= 3 and c in FILLERS and len(token) > self.max_token:
+                if c in FILLERS and n > (MASKED_RUN if c in ANY_LETTER else 2):
                     out.append([("", COST_FILLER)])
                 elif n >= 3 and looks:
                     ways = [(x, COST_LOOKS) for x in looks] + [(x * 2, COST_LOOKS + COST_RUN) for x in looks]
@@ -262,8 +266,6 @@ def features(word: str, s: Settings) -> list[int]:
     """Hashed features of a restored word: the word, and its beginnings."""
     import xxhash
 
-    if len(word) < 3:
-        return []
     names = ["=" + word, *(word[:n] for n in s.prefixes if len(word) >= n)]
     return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) >> (64 - s.hash_bits) for x in names]
 
@@ -349,14 +351,24 @@ def summary(ratings: list[float], s: Settings) -> list[float]:
     return [1.0, *top, *high, math.log1p(len(ratings)) / 5]
 
 
+OWN = {"all": (0, 0), "y1": (1, 0), "y0": (0, 1)}  # a document's own counts by its label
+
+
+def rated(counts: list[tuple[int, int, int]], share: float, tries: float, s: Settings, name: str) -> dict[int, float]:
+    """The telling features, a labelled document's own count taken off: it must not be told by itself."""
+    a, b = OWN[name]
+    found = ((f, rating(x - a, max(y - b, 0), share, tries, s)) for f, x, y in counts)
+    return {f: r for f, r in found if r >= s.min_rating}
+
+
 def _opened(shared, s: Settings, name: str):
     """The worker's channel and its cached word ratings under the table ``name``."""
     parts = shared.value
     if "channel" not in parts:
-        parts["channel"] = Channel(parts["model"], s.max_token)
+        parts["channel"] = Channel(parts["model"])
     channel = parts["channel"]
     if f"get-{name}" not in parts:
-        table = parts[name]
+        table = parts[name] if name in parts else rated(parts["counts"], parts["share"], parts["tries"], s, name)
 
         def rate(tok: str) -> float:
             return max((table.get(f, 0.0) for w in channel.words(tok) for f in features(w, s)), default=0.0)
@@ -404,7 +416,7 @@ def train(
 
         parts = shared.value
         if "get" not in parts:
-            channel = parts["channel"] = Channel(parts["model"], s.max_token)
+            channel = parts["channel"] = Channel(parts["model"])
             parts["get"] = _cached({}, lambda tok: [f for w in channel.words(tok) for f in features(w, s)])
         rows = []
         for t in texts:
@@ -430,10 +442,7 @@ def train(
     share = min(max(totals.get(1, 0) / max(sum(totals.values()), 1), 1e-6), 1 - 1e-6)
     tries = max(tried, 1)
     # a labelled document must not be told by itself: its own count is taken off for the fit
-    parts = {"model": model}
-    for name, own in (("all", (0, 0)), ("y1", (1, 0)), ("y0", (0, 1))):
-        rated = ((r["f"], rating(r["a"] - own[0], max(r["b"] - own[1], 0), share, tries, s)) for r in table)
-        parts[name] = {f: r for f, r in rated if r >= s.min_rating}
+    parts = {"model": model, "counts": [(r["f"], r["a"], r["b"]) for r in table], "share": share, "tries": tries}
     told = docs.sparkSession.sparkContext.broadcast(parts)
 
     def describe_fit(texts, labels):
@@ -448,9 +457,12 @@ def train(
     fit_on = known.limit(s.max_docs)
     sample = docs.join(F.broadcast(fit_on), F.col(doc_id) == F.col("_id")).select("_id", "y", whole(text).alias("t"))
     sample = sample.select("_id", "y", F.arrow_udf(describe_fit, "array<double>")("t", "y").alias("x"))
+    # one row for an id and label, however often the id repeats: at most max_docs come to the driver
+    sample = sample.groupBy("_id", "y").agg(F.min("x").alias("x"))
     fitted = sample.toArrow().sort_by([("_id", "ascending"), ("y", "ascending")])
     x = np.array(fitted.column("x").to_pylist(), np.float64).reshape(-1, len(summary([], s)))
-    return Scorer(model, parts["all"], _fit(x, np.array(fitted.column("y").to_pylist(), np.float64)), s)
+    ratings = rated(parts["counts"], share, tries, s, "all")
+    return Scorer(model, ratings, _fit(x, np.array(fitted.column("y").to_pylist(), np.float64)), s)
 
 
 def score(docs: DataFrame, scorer: Scorer, text: str = "text", out: str = "score") -> DataFrame:
@@ -469,7 +481,7 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text", out: str = "score
     return docs.withColumn(out, F.arrow_udf(rate, "double")(whole(text)))
 
 
-def restore(docs: DataFrame, model: np.ndarray, text: str = "text", out: str = "restored", max_token: int = 60) -> DataFrame:
+def restore(docs: DataFrame, model: np.ndarray, text: str = "text", out: str = "restored") -> DataFrame:
     """Add ``out``: the whole text with hidden words written out."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": model})
 
@@ -478,7 +490,7 @@ def restore(docs: DataFrame, model: np.ndarray, text: str = "text", out: str = "
 
         parts = shared.value
         if "channel" not in parts:
-            parts["channel"] = Channel(parts["model"], max_token)
+            parts["channel"] = Channel(parts["model"])
         return pa.array([parts["channel"].restore(t.as_py()) for t in texts], pa.string())
 
     return docs.withColumn(out, F.arrow_udf(rewrite, "string")(whole(text)))

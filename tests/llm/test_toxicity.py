@@ -35,7 +35,7 @@ def trained(spark):
     ("bl*ckhead", "blockhead"), ("NUMBSKULL!!!", "numbskull"), ("block-head", "blockhead"), ("n 1 t w 1 t", "nitwit"),
 ])
 def test_hidden_words_are_restored_and_scored(spark, docs, trained, hidden, word):
-    channel = toxicity.Channel(trained.model, 60)
+    channel = toxicity.Channel(trained.model)
     text = f"{prose(901, 20)} {hidden} {prose(902, 20)}"
     assert word in {w for t in channel.tokens(text) for w in channel.words(t)}
     clean = prose(901, 20) + " " + prose(902, 20)
@@ -52,7 +52,7 @@ the moron and the idiot went to see what they could do for you and a friend of t
 @pytest.fixture(scope="module")
 def english(spark):
     frame = spark.createDataFrame([(i, PLAIN_ENGLISH) for i in range(20)], "doc_id bigint, text string")
-    return toxicity.Channel(toxicity.language_model(frame), 60)
+    return toxicity.Channel(toxicity.language_model(frame))
 
 
 @pytest.mark.parametrize("hidden,words", [
@@ -68,7 +68,7 @@ def test_rows_decode_into_words_and_doubled_letters_into_one(english, hidden, wo
 
 def test_undoubled_is_the_decoding(english, trained):
     rng = random.Random(5)
-    for channel in (english, toxicity.Channel(trained.model, 60)):
+    for channel in (english, toxicity.Channel(trained.model)):
         for w in PLAIN_ENGLISH.lower().split() + prose(9, 200).split():
             w = "".join(c * rng.choice((1, 2)) for c in w)
             if not toxicity.LONG_RUN.search(w):
@@ -88,18 +88,35 @@ def test_restored_rows_and_doubled_letters(english):
     "ka" * 30 + "-" + "n1tw1t",
 ])
 def test_long_tokens_are_decoded(trained, hidden):
-    channel = toxicity.Channel(trained.model, 60)
+    channel = toxicity.Channel(trained.model)
     assert len(hidden) > 60
     assert "nitwit" in {w for t in channel.tokens(hidden) for w in channel.words(t)}
 
 
 def test_a_very_long_token_takes_linear_time(trained):
-    channel = toxicity.Channel(trained.model, 60)
+    channel = toxicity.Channel(trained.model)
     assert len(channel.words("k4ru" * 50_000)[0]) == 200_000
 
 
+@pytest.mark.parametrize("tail", ["", "karu" * 15])
+def test_masked_letters_are_read_alike_in_tokens_of_any_length(trained, tail):
+    channel = toxicity.Channel(trained.model)
+    assert any(w.startswith("nit") for w in channel.words("n*twit" + tail))
+    masked = {w for w in channel.words("n***twit" + tail)}
+    assert len("nidotwit" + tail) in {len(w) for w in masked} and len(masked) > 1
+
+
+@pytest.mark.parametrize("gap", [1, 4, 9])
+def test_rows_with_gaps_of_any_width(english, gap):
+    assert "idiot" in {w for t in english.tokens((" " * gap).join("idiot")) for w in english.words(t)}
+
+
+def test_rows_match_in_linear_time(english):
+    assert english.tokens("_" * 100_000 + "ab")
+
+
 def test_plain_words_are_their_own_decoding(trained):
-    channel = toxicity.Channel(trained.model, 60)
+    channel = toxicity.Channel(trained.model)
     text = prose(77, 200) + " Éclair ñandú 日本 word's"
     assert channel.restore(prose(77, 200)) == prose(77, 200)
     for w in text.split()[:200]:
@@ -110,7 +127,7 @@ def test_decoding_is_the_best_path(trained):
     """Viterbi against enumeration of every reading of short tokens."""
     import itertools
 
-    channel = toxicity.Channel(trained.model, 60)
+    channel = toxicity.Channel(trained.model)
 
     def cost(letters):
         x = y = 0
