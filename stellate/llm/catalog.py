@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import bpe, crf, decontam, html_tree, minmax, repeats, rules, secrets, toxicity, warc
-from stellate.llm.common import read
+from stellate.llm import bpe, crf, decontam, html_tree, merkle, minmax, repeats, rules, secrets, toxicity, warc
+from stellate.llm.common import lower_ascii, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -163,3 +163,81 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crf.fold(F.col("doc_id"), 5) == 0
     labels = read(spark, sf_dir, "labels").where(~held_out)
     return _scored(toxicity.score(docs, toxicity.train(docs, labels)), held_out, 0.5)
+
+
+def _leaf_sql(text: str) -> str:
+    values = [f"cast({c} as varchar)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(
+        f"case when {v} is null then '-' else octet_length(encode({v})) || ':' || {v} end" for v in values
+    ) + ")"
+
+
+def _siblings_sql(nodes: str, group: str) -> str:
+    return f"""select a.{group}, a.k, a.i, coalesce(string_agg(b.h, '' order by b.i) filter (b.i < a.i), '') as before,
+    coalesce(string_agg(b.h, '' order by b.i) filter (b.i > a.i), '') as after
+  from {nodes} a join {nodes} b on a.{group} is not distinct from b.{group} and a.k = b.k and a.i // 8 = b.i // 8
+  group by a.{group}, a.k, a.i"""
+
+
+MERKLE_SQL = f"""
+with recursive crc as (
+  select *, xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint),
+    lambda crc, c: list_reduce(range(8), lambda x, j: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, c)),
+    4294967295::bigint), 4294967295::bigint) as crc,
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered from documents),
+rows as (
+  select doc_id, lang, {_leaf_sql("text")} as leaf,
+    {_leaf_sql("case when crc % 3 = 0 then lowered else text end")} as tampered from crc),
+leaves as (
+  select row_number() over () as id, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i,
+    doc_id, lang, leaf, tampered from rows),
+nodes as (
+  select lang, 0 as k, i, leaf as h from leaves
+  union all
+  select lang, k + 1, i // 8, sha256(string_agg(h, '' order by i))
+  from (select *, count(*) over (partition by lang) as c from nodes) where c > 1 group by lang, k, i // 8),
+tops as (
+  select *, row_number() over (order by lang nulls first) - 1 as place
+  from (select lang, max(k) as depth, arg_max(h, k) as subroot from nodes group by lang)),
+upper_nodes as (
+  select 0 as g, 0 as k, place as i, subroot as h from tops
+  union all
+  select 0, k + 1, i // 8, sha256(string_agg(h, '' order by i))
+  from (select *, count(*) over () as c from upper_nodes) where c > 1 group by k, i // 8),
+summit as (select max(k) as height, arg_max(h, k) as root from upper_nodes),
+beside as ({_siblings_sql("nodes", "lang")}),
+upper_beside as ({_siblings_sql("upper_nodes", "g")}),
+steps as (
+  select id, b.k, before, after from leaves l join tops t on l.lang is not distinct from t.lang
+  join beside b on l.lang is not distinct from b.lang and b.k < t.depth and b.i = l.i // (8 ** b.k)::bigint
+  union all
+  select id, depth + b.k, before, after from leaves l join tops t on l.lang is not distinct from t.lang
+  join upper_beside b on b.i = t.place // (8 ** b.k)::bigint join summit on b.k < height),
+folded as (
+  select id, 0 as k, tampered as h from leaves
+  union all
+  select f.id, f.k + 1, sha256(before || h || after) from folded f join steps s on f.id = s.id and f.k = s.k),
+ends as (select id, arg_max(h, k) as folded_root from folded group by id),
+proofs as (select id, string_agg(before || after, '' order by k) as proof from steps group by id)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root,
+  folded_root = root as verified
+from leaves l join tops t on l.lang is not distinct from t.lang join ends using (id) left join proofs using (id)
+cross join summit
+"""
+
+
+@register("op13_merkle_manifest", MERKLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    drawn = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(drawn, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    built = merkle.manifest(docs, extra={"tampered": merkle.leaf_digest(*columns, text)})
+    return built.proofs().select(
+        F.col("key").alias("doc_id"),
+        F.col("hash").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        merkle.fold(F.col("tampered"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
