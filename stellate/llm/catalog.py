@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import bpe, crf, decontam, html_tree, merkle, minmax, repeats, rules, secrets, toxicity, warc
+from stellate.llm import bpe, crf, decontam, html_tree, lexical, merkle, minmax, repeats, rules, secrets, toxicity, warc
 from stellate.llm.common import lower_ascii, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,3 +241,34 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
         merkle.fold(F.col("tampered"), F.col("path")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+LEXICAL_SQL = r"""
+with cut as (
+  select text, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as words
+  from (select text from documents union select text from benchmark) where text is not null),
+d as (select row_number() over () as r, doc_id, words, len(words)::bigint as n from documents join cut using (text) where len(words) > 0),
+stats as (select count(*)::bigint as docs, sum(n)::bigint as length from d),
+tfs as (select r, t, count(*)::bigint as tf from (select r, unnest(words) as t from d) group by r, t),
+dfs as (select t, count(*)::bigint as df from tfs group by t),
+asked as (
+  select i, item_id, t, count(*)::bigint as times
+  from (select i, item_id, unnest(words) as t
+    from (select row_number() over () as i, item_id, text from benchmark) join cut using (text))
+  group by all),
+weighted as (
+  select i, item_id, t, times * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w
+  from asked join dfs using (t), stats),
+scored as (
+  select i, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))))::bigint as score
+  from weighted join tfs using (t) join d using (r), stats group by i, item_id, r)
+select item_id, row_number() over (partition by i order by score desc, doc_id nulls first)::int as rank, doc_id, score
+from scored join d using (r) where score > 0 qualify rank <= 10
+"""
+
+
+@register("op12_shared_lexical_search", LEXICAL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
