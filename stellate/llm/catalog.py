@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import bpe, crf, decontam, html_tree, lexical, merkle, minmax, repeats, rules, secrets, toxicity, warc
+from stellate.llm import blocknn, bpe, crf, decontam, html_tree, lexical, merkle, minmax, repeats, rules, secrets, toxicity, warc
 from stellate.llm.common import lower_ascii, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,3 +272,22 @@ from scored join d using (r) where score > 0 qualify rank <= 10
 @register("op12_shared_lexical_search", LEXICAL_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+NEAREST_SQL = """
+with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where embedding is not null and len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored as (
+  select q.r, q.vec_id as query_id, c.vec_id, c.r as other,
+    list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda a, b: a + b, 0::double) as score
+  from v q join v c on q.r <> c.r and len(q.e) = len(c.e) where q.vec_id % 20 = 0)
+select query_id, row_number() over (partition by r order by score desc, vec_id nulls last, other)::int as rank, vec_id, score
+from scored qualify rank <= 20
+"""
+
+
+@register("op11_block_nearest", NEAREST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocknn.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
