@@ -1,6 +1,7 @@
 """Scans, adapters, generators and ingestion."""
 
 from stellate.sources.csv_ingest import ingest_csv, read_csv
+from stellate.sources.csv_splits import csv_records, ingest_csv_records, read_csv_records
 from stellate.sources.marketplace import (
     CATEGORY_TRANSLATION,
     RAW_TABLES,
@@ -17,12 +18,15 @@ __all__ = [
     "RAW_TABLES",
     "Marketplace",
     "category_translation",
+    "csv_records",
     "data_spine",
     "date_range_of",
     "date_spine",
     "day_sequence",
     "ingest_csv",
+    "ingest_csv_records",
     "read_csv",
+    "read_csv_records",
     "read_parquet",
     "read_raw",
     "read_table",
