@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--driver-root", help="folder with the TPC-H style test tables")
     build.add_argument("--format", default="parquet", help="output data source (parquet, delta, ...)")
     build.add_argument("--months-ahead", type=int, default=60)
-    build.add_argument("--version", default=None, help="run id: write to <table>/_v=<id> (default: a new id), switch views at the end")
+    build.add_argument("--version", default=None, help="run id: write to <table>/_v=<id> (default: a new id), committed at the end")
     build.add_argument("--view", action="append", default=[],
                        help="<table>=<view name> to rename a published view, repeatable")
     build.add_argument("--database", default=None,
@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--calendar-start", default="2016-01-01", help="first day of that calendar")
     build.add_argument("--as-of", default=None, help="date its rolling flags refer to (default: today)")
     build.add_argument("--load-ts", default=None, help="its load date (default: now)")
+    build.add_argument("--key-root", default=None, help="folder where surrogate keys are kept over runs (default: numbered anew)")
     build.add_argument("--master", default=None)
     build.add_argument("--shuffle-partitions", type=int, default=None,
                        help="fixed shuffle partition count; by default sized from the input bytes")
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
         calendar = CalendarWindow(args.calendar_start, first, last, args.as_of, args.load_ts)
     published = build_mart(spark, mp, args.out, fmt=args.format, months_ahead=args.months_ahead,
                            version=args.version, view_names=views, temp_views=not args.database,
-                           partition_by=parts, calendar=calendar)
+                           partition_by=parts, calendar=calendar, key_root=args.key_root)
     print(json.dumps({"paths": published.paths, "views": published.views}))
     return 0
 

@@ -7,10 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from stellate.operators.keymap import KeyMap
 from stellate.plans import mart
 from stellate.plans.publish import MART_VIEWS, Published, create_view, read_back, write_table
+from stellate.sources import commits
 from stellate.sources.marketplace import Marketplace
 
+# File formats whose partition folders Spark reads.
+LOGGED_FORMATS = ("parquet", "orc")
+
 
 @dataclass(frozen=True)
 class CalendarWindow:
@@ -38,6 +43,7 @@ def build_mart(
     view_names: dict[str, str] | None = None,
     partition_by: dict[str, list[str]] | None = None,
     calendar: CalendarWindow | None = None,
+    key_root: str | None = None,
 ) -> Published:
     """Build and publish the four mart tables under ``root``.
 
@@ -45,11 +51,17 @@ def build_mart(
     and the fact joins the *written* table, so ``type_id`` in the fact is the
     key that was published (no second evaluation of the key assignment).
 
-    The tables go to ``root/<table>/_v=<version>`` (default: a new run id)
-    and the views are switched only after all four writes succeeded: a failed
-    or half-finished run never replaces what readers of the views see, and
-    re-running the same version is idempotent. An empty version overwrites
-    the tables in place at ``root/<table>``.
+    The tables go to ``root/<table>/_v=<version>`` (default: a new run id). When
+    all four are written, one entry in the commit log (``sources.commits``) makes
+    them the current ones; the views read through the log's last entry, so they
+    change together, a failed or half-finished run never replaces what their
+    readers see, and re-running the same version is idempotent. Formats that
+    Spark reads without partition folders (delta) get views on the version's
+    paths. An empty version overwrites the tables in place at ``root/<table>``.
+
+    ``key_root`` names a folder where the payment types' keys are kept over runs
+    (``operators.keymap``): a type that appears later then gets the next number
+    and no other changes. Without it the keys are numbered anew in each run.
 
     ``calendar`` fixes the calendar's bounds; without it the calendar covers
     the whole years of the orders, as of the last order.
@@ -64,12 +76,15 @@ def build_mart(
     names = {**MART_VIEWS, **(view_names or {})}
     parts = partition_by or {}
     root = root.rstrip("/")
-    version = uuid.uuid4().hex if version is None else version
+    version = commits.folder_name(uuid.uuid4().hex if version is None else version)
     suffix = f"/_v={version}" if version else ""
     paths = {name: f"{root}/{name}{suffix}" for name in MART_VIEWS}
 
-    write_table(mart.dim_payments(mp.order_payments), paths["dim_payments"], fmt,
-                partition_by=parts.get("dim_payments"))
+    if key_root:
+        types = KeyMap(spark, key_root, ["payment_type"], "type_id").extend(mp.order_payments)
+    else:
+        types = mart.dim_payments(mp.order_payments)
+    write_table(types, paths["dim_payments"], fmt, partition_by=parts.get("dim_payments"))
     payment_types = read_back(spark, paths["dim_payments"], fmt)
 
     # slim dimension from the per-order customer records (the raw customers
@@ -89,8 +104,15 @@ def build_mart(
     write_table(mart.build_fact(mp.order_payments, payment_types, oc), paths["fact"], fmt,
                 partition_by=parts.get("fact"))
 
+    logged = bool(version) and fmt in LOGGED_FORMATS
+    if logged:
+        tables = {name: read_back(spark, path, fmt) for name, path in paths.items()}
+        commits.commit(spark, root, version, tables)
     views = {}
     for name, view in names.items():
-        create_view(spark, view, paths[name], fmt, temp=temp_views)
+        if logged:
+            commits.create_switched_view(spark, view, root, name, tables[name].columns, fmt, temp_views)
+        else:
+            create_view(spark, view, paths[name], fmt, temp=temp_views)
         views[name] = view
     return Published(paths, views)

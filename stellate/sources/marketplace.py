@@ -142,6 +142,10 @@ class Marketplace:
             self._frames[name] = src if isinstance(src, DataFrame) else src()
         return self._frames[name]
 
+    def replaced(self, **tables) -> "Marketplace":
+        """The same marketplace with some tables replaced."""
+        return Marketplace(self.order_columns, **(self._sources | tables))
+
     customers = property(lambda self: self._get("customers"))
     customer_orders = property(lambda self: self._get("customer_orders"))
     orders = property(lambda self: self._get("orders"))

@@ -1,0 +1,172 @@
+"""Published tables switch together; surrogate keys stay over runs."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from data_dirs import SMOKE
+from fixtures import marketplace
+from stellate.operators.keymap import KeyMap
+from stellate.plans import build as building
+from stellate.plans import build_mart, read_back
+from stellate.plans.catalog import QUERIES
+from stellate.sources import commits
+from stellate.sources.marketplace import FIELDS, Marketplace
+
+VIEWS = ("vw_dim_payments", "vw_dim_customer1", "vw_dim_calendar", "vw_fact")
+
+
+def more(spark, extra_types=("a_new_type",)):
+    """The fixture with payments of types that sort before the known ones, and later orders."""
+    mp = marketplace(spark)
+    tables = {f: getattr(mp, f) for f in FIELDS}
+    pay = tables["order_payments"]
+    row = pay.where("order_id = 'o1'").limit(1)
+    for t in extra_types:
+        tables["order_payments"] = tables["order_payments"].unionByName(row.withColumn("payment_type", F.lit(t)))
+    late = tables["orders"].where("order_id = 'o1'").select(
+        *[F.lit(dt.datetime(2020, 5, 5)).alias(c) if c == "order_purchase_timestamp" else F.lit("o77").alias(c) if c == "order_id" else c
+          for c in tables["orders"].columns])
+    tables["orders"] = tables["orders"].unionByName(late)
+    return Marketplace(**tables)
+
+
+def state(spark):
+    return {v: sorted(map(repr, spark.table(v).collect())) for v in VIEWS}
+
+
+def test_a_run_that_dies_after_two_tables_leaves_all_views_on_the_old_version(spark, out_dir, monkeypatch):
+    root = f"{out_dir}/m"
+    build_mart(spark, marketplace(spark), root, months_ahead=12, version="r1")
+    before = state(spark)
+    real, written = building.write_table, []
+
+    def dies(df, path, *args, **kwargs):
+        if len(written) == 2:
+            raise RuntimeError("lost")
+        written.append(path)
+        return real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(building, "write_table", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        build_mart(spark, more(spark), root, months_ahead=12, version="r2")
+    assert [p.endswith("_v=r2") for p in written] == [True, True]
+    assert state(spark) == before and commits.last(spark, root).version == "r1"
+
+    # the same run again, dying as soon as it has committed: all four views are on it
+    monkeypatch.setattr(building, "write_table", real)
+
+    def no_views(*args, **kwargs):
+        raise RuntimeError("after the commit")
+
+    monkeypatch.setattr(commits, "create_switched_view", no_views)
+    with pytest.raises(RuntimeError, match="after the commit"):
+        build_mart(spark, more(spark), root, months_ahead=12, version="r2")
+    after = state(spark)
+    assert all(after[v] != before[v] for v in ("vw_dim_payments", "vw_dim_calendar", "vw_fact"))
+    for v, t in zip(VIEWS, ("dim_payments", "dim_customer1", "dim_calendar", "fact"), strict=True):
+        assert after[v] == sorted(map(repr, read_back(spark, commits.table_path(root, t, "r2")).collect()))
+
+
+def test_a_view_reads_the_files_of_one_version(spark, out_dir):
+    root = f"{out_dir}/m"
+    for version in ("r1", "r2", "r3"):
+        build_mart(spark, marketplace(spark), root, months_ahead=12, version=version)
+    fact = spark.table("vw_fact")
+    assert "_v" not in fact.columns
+    fact.collect()
+    scan = spark.sql(
+        f"SELECT DISTINCT _v FROM (SELECT *, _metadata.file_path AS f FROM parquet.`{root}/fact` WHERE _v ="
+        f" (SELECT max_by(version, struct(seq, version)) FROM parquet.`{root}/commits`))")
+    assert [r["_v"] for r in scan.collect()] == ["r3"]
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_v" in plan and "Subquery" in plan
+
+
+def test_snapshot_stays_while_views_move_on(spark, out_dir):
+    root = f"{out_dir}/m"
+    build_mart(spark, marketplace(spark), root, months_ahead=12, version="20240101")  # reads as a number
+    pinned = commits.snapshot(spark, root)
+    n = pinned["dim_payments"].count()
+    build_mart(spark, more(spark), root, months_ahead=12, version="20240102")
+    assert pinned["dim_payments"].count() == n and spark.table("vw_dim_payments").count() == n + 1
+    assert set(pinned) == {"dim_payments", "dim_customer1", "dim_calendar", "fact"}
+    assert commits.last(spark, root).version == "v20240102" and commits.last(spark, root).seq == 2
+    with pytest.raises(ValueError, match="nothing was committed"):
+        commits.snapshot(spark, f"{out_dir}/none")
+
+
+def test_changed_columns_are_refused(spark, out_dir):
+    one = spark.range(1)
+    commits.commit(spark, out_dir, "a", {"t": one})
+    with pytest.raises(ValueError, match="columns of t changed"):
+        commits.commit(spark, out_dir, "b", {"t": one.withColumn("x", F.lit(1))})
+    assert commits.last(spark, out_dir).version == "a"
+
+
+def keys(df, col="k", name="id"):
+    return {r[col]: r[name] for r in df.collect()}
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "k string")
+
+
+def test_keys_stay_and_are_dense(spark, out_dir):
+    store = KeyMap(spark, f"{out_dir}/keys", ["k"])
+    assert store.read() is None
+    first = keys(store.extend(frame(spark, ["m", "q", "m", "z"])))
+    assert first == {"m": 1, "q": 2, "z": 3}
+    second = keys(store.extend(frame(spark, ["a", None, "q", "zz", "a"])))
+    assert second == first | {None: 4, "a": 5, "zz": 6}
+    # nothing new, and nothing at all
+    assert keys(store.extend(frame(spark, ["a", None]))) == second
+    assert keys(store.extend(frame(spark, []))) == second
+    assert keys(KeyMap(spark, f"{out_dir}/keys", ["k"]).read()) == second
+
+
+def test_a_part_without_commit_is_not_read(spark, out_dir, monkeypatch):
+    store = KeyMap(spark, f"{out_dir}/keys", ["k"])
+    first = keys(store.extend(frame(spark, ["m"])))
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lost)
+        with pytest.raises(RuntimeError):
+            store.extend(frame(spark, ["x", "y"]))
+    assert keys(store.read()) == first
+    assert keys(store.extend(frame(spark, ["b"]))) == first | {"b": 2}
+
+
+def test_keys_of_several_columns(spark, out_dir):
+    store = KeyMap(spark, f"{out_dir}/keys", ["a", "b"], "n")
+    rows = [(1, None), (1, "x"), (None, "x")]
+    make = lambda r: spark.createDataFrame(r, "a int, b string")
+    first = {(r["a"], r["b"]): r["n"] for r in store.extend(make(rows)).collect()}
+    second = {(r["a"], r["b"]): r["n"] for r in store.extend(make([*rows, (None, None), (0, "x")])).collect()}
+    assert second == first | {(None, None): 4, (0, "x"): 5}
+
+
+def test_mart_over_two_runs_keeps_its_keys_and_loses_no_payment(spark, out_dir):
+    root, store = f"{out_dir}/m", f"{out_dir}/keys"
+    build_mart(spark, marketplace(spark), root, months_ahead=12, key_root=store)
+    before = keys(spark.table("vw_dim_payments"), "payment_type", "type_id")
+    fact = spark.table("vw_fact").count()
+    build_mart(spark, more(spark, ("a_new_type", "another")), root, months_ahead=12, key_root=store)
+    after = keys(spark.table("vw_dim_payments"), "payment_type", "type_id")
+    n = len(before)
+    assert after == before | {"a_new_type": n + 1, "another": n + 2}
+    assert spark.table("vw_fact").count() == fact + 2
+    assert spark.table("vw_fact").join(spark.table("vw_dim_payments"), "type_id", "left_anti").count() == 0
+
+
+def test_registered_queries_keep_keys_and_facts(spark):
+    loads = QUERIES["customer_keys_two_loads"](spark, SMOKE).collect()
+    assert sorted(r["id"] for r in loads) == list(range(1, len(loads) + 1))
+    assert {r["id"] for r in loads if r["load"] == 1} == set(range(1, sum(r["load"] == 1 for r in loads) + 1))
+    assert {r["load"] for r in loads} == {1, 2}
+    fact = QUERIES["fact_after_second_load"](spark, SMOKE)
+    assert fact.count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
