@@ -1,0 +1,77 @@
+"""Bucketed tables: equal to the shuffled joins, no exchange under them, hot keys beside the buckets."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from data_dirs import SMOKE
+from stellate.plans import buckets, mart
+from stellate.plans.catalog import QUERIES
+from stellate.sources.marketplace import Marketplace
+
+
+@pytest.fixture()
+def prefix(spark):
+    name = "t" + uuid.uuid4().hex
+    yield name
+    for t in spark.catalog.listTables():
+        if t.name.startswith(name):
+            spark.sql(f"DROP TABLE {t.name}")
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bucketed_join_has_no_exchange_and_no_sort_of_the_sides(spark, out_dir, prefix, no_broadcast):
+    a = buckets.write_bucketed(spark.range(5000).withColumn("x", F.col("id") * 2), f"{prefix}_a", f"{out_dir}/a", "id", 8)
+    b = buckets.write_bucketed(spark.range(0, 9000, 3).withColumn("y", F.col("id") + 1), f"{prefix}_b", f"{out_dir}/b", "id", 8)
+    joined = a.join(b, "id")
+    plan = final_plan(joined)
+    assert joined.count() == 1667
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_hot_keys_lie_beside_the_buckets(spark, out_dir, prefix, no_broadcast):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1)], "k bigint, v bigint"))
+    dim = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
+    assert [r["k"] for r in buckets.hot_keys(rows, "k", 8).collect()] == [7]
+    stored = buckets.store(rows, f"{prefix}_r", out_dir, "k", 8)
+    assert stored.hot.select("k").distinct().collect() == [(7,)] and stored.even.where("k = 7").count() == 0
+    other = buckets.write_bucketed(dim, f"{prefix}_d", f"{out_dir}/d", "k", 8)
+    got = stored.join(other)
+    plan = final_plan(got)
+    assert plan.count("Exchange hashpartitioning") == 0 and plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan
+    want = rows.join(dim, "k").select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("hot_share", [0.5, 0.0])
+def test_fact_equals_the_shuffled_one(spark, out_dir, prefix, no_broadcast, hot_share):
+    mp = Marketplace.from_driver(spark, SMOKE)
+    types = mart.dim_payments(mp.order_payments)
+    fact = buckets.fact_from_buckets(
+        mp.order_payments, types, mp.orders, mart.dim_customer(mp.customers), out_dir, prefix, mp.order_columns, 4, hot_share)
+    want = mart.build_fact(
+        mp.order_payments, types, mart.order_customer(mp.orders, mart.dim_customer(mp.customers), mp.order_columns))
+    assert fact.columns == want.columns
+    assert fact.count() == want.count() and fact.exceptAll(want).count() == 0
+    assert "Exchange hashpartitioning" not in final_plan(fact)
+
+
+def test_registered_query_joins_without_exchange(spark, no_broadcast):
+    fact = QUERIES["fact_from_buckets"](spark, SMOKE)
+    plan = final_plan(fact)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
+    assert fact.count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
