@@ -120,6 +120,54 @@ def distinct_per_group(
     )
 
 
+def wide_row_duplicates(df: DataFrame, count_col: str = "c", min_count: int = 2, **skew_options) -> DataFrame:
+    """``full_row_duplicates`` for wide rows of which few repeat: only candidates are shuffled whole.
+
+    A 128-bit fingerprint of each row is counted first, which moves 24 bytes a
+    row. Rows whose fingerprint is seen ``min_count`` times are matched back
+    (``join_to_keys``: by broadcast within the bound, else with hot fingerprints
+    salted) and grouped by all their columns, so a collision of fingerprints
+    costs a needless candidate and never a wrong group.
+    """
+    marks = ["_f1", "_f2"]
+    cols = [F.col(c) for c in df.columns]
+    marked = df.select(*cols, F.xxhash64(*cols).alias("_f1"), F.xxhash64(F.lit(40503), *reversed(cols)).alias("_f2"))
+    seen = duplicate_keys(marked.select(*marks), marks, count_col="_n", min_count=min_count)
+    candidates = join_to_keys(marked, seen, marks, "left_semi", **skew_options).select(*df.columns)
+    return full_row_duplicates(candidates, count_col, min_count)
+
+
+def key_audit(df: DataFrame, checks: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Uniqueness of several key lists in one scan and one shuffle.
+
+    One row per check: ``rows``, ``keys`` (distinct key values), ``repeated``
+    (those that occur more than once) and ``largest`` (most rows of one key).
+    All lists are grouping sets of one aggregation: a row is counted once for
+    each list before the shuffle, and the counts are then summed up by list. A
+    NULL key is a value like any other. Over an empty frame all counts are 0.
+    """
+    cols = list(dict.fromkeys(c for keys in checks.values() for c in keys))
+    # a set's grouping id has a bit for each column that is not in it, the first column's the highest
+    names: dict[int, list[str]] = {}
+    for name, keys in checks.items():
+        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+        names.setdefault(bits, []).append(name)
+    sets = [[c for i, c in enumerate(cols) if not bits >> (len(cols) - 1 - i) & 1] for bits in names]
+    counted = df.select(*cols).groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols]).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")
+    )
+    summed = counted.groupBy("_set").agg(
+        F.sum("_n").alias("rows"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("_n") > 1).alias("repeated"),
+        F.max("_n").alias("largest"),
+    )
+    # one row for each check, whatever the data
+    listed = df.sparkSession.createDataFrame([(n, b) for b, ns in names.items() for n in ns], "check string, _set bigint")
+    found = listed.join(F.broadcast(summed), "_set", "left")
+    return found.select("check", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "keys", "repeated", "largest")])
+
+
 def min_max_profile(df: DataFrame, spec: Mapping[str, Column]) -> DataFrame:
     """One-row profile: ``{alias: aggregate expression}``, e.g. min/max of dates."""
     return df.agg(*[expr.alias(alias) for alias, expr in spec.items()])

@@ -172,6 +172,44 @@ def build_fact(
     return fact.select(*order_cust.columns, *first, "type_id", *rest)
 
 
+def payments_with_cause(
+    payments: DataFrame, payment_types: DataFrame, orders: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """Every payment with ``cause``: why the fact does not have it, null where it does.
+
+    The fact's inner joins drop rows silently. Here the same lookups are outer
+    joins in one pass, and the first that fails names the cause: no payment
+    type, no order, no customer. One row per payment, whatever repeats in the
+    orders or customers, so the rows without cause are the payments that the
+    fact holds and all rows together are the payments.
+    """
+    types = broadcast_if_small(payment_types.select("payment_type", F.lit(True).alias("_type")))
+    people = customers.select("customer_id").distinct().withColumn("_person", F.lit(True))
+    # grouped by order_id, as the payments are joined: no shuffle of its own for that join
+    known = orders.join(people, "customer_id", "left").groupBy("order_id").agg(
+        F.max(F.coalesce("_person", F.lit(False))).alias("_person")
+    )
+    joined = payments.join(types, "payment_type", "left").join(known, "order_id", "left")
+    cause = (
+        F.when(F.col("_type").isNull(), "no payment type")
+        .when(F.col("_person").isNull(), "no order")
+        .when(~F.col("_person"), "no customer")
+    )
+    return joined.select(*payments.columns, cause.alias("cause"))
+
+
+def fact_rejects(
+    payments: DataFrame, payment_types: DataFrame, orders: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """Payments by cause (``loaded`` for those in the fact): rows, orders and the largest value."""
+    judged = payments_with_cause(payments, payment_types, orders, customers)
+    return judged.groupBy(F.coalesce("cause", F.lit("loaded")).alias("cause")).agg(
+        F.count(F.lit(1)).alias("payments"),
+        F.countDistinct("order_id").alias("orders"),
+        F.max("payment_value").alias("largest"),
+    )
+
+
 def reviews_with_order_customer(reviews: DataFrame, order_cust: DataFrame) -> DataFrame:
     """Every review row with its order's customer attributes (inner join on order_id)."""
     return reviews.join(order_cust, "order_id", "inner")

@@ -87,6 +87,13 @@ def category_translation(spark: SparkSession) -> DataFrame:
     )
 
 
+def translation_from_products(products: DataFrame, untranslated: tuple[str, ...] = ("STANDARD",)) -> DataFrame:
+    """A translation derived from the products' categories: one row each, but for those left ``untranslated``."""
+    name = F.col("product_category_name")
+    known = products.select(name).where(name.isNotNull() & ~name.isin(*untranslated)).distinct()
+    return known.withColumn("product_category_name_english", F.concat(F.lower(name), F.lit("_en")))
+
+
 def _place(customer_like: DataFrame, nation: DataFrame, region: DataFrame, key: str) -> DataFrame:
     """Attach city (nation name) and state (region name) to rows keyed by a nation key.
 

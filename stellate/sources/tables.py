@@ -13,6 +13,7 @@ DRIVER_TABLES = (
     "orders",
     "lineitem",
     "events",
+    "documents",
 )
 
 

@@ -98,4 +98,4 @@ def test_a_value_inside_the_range_but_absent_is_skipped_by_the_filter(spark, out
 def test_registered_window_and_lookups(spark):
     got = QUERIES["fact_in_calendar_window"](spark, SMOKE)
     assert "dynamicpruning" in leaf_metrics(got).toString().lower() and got.count() > 0
-    assert QUERIES["published_order_lookup"](spark, SMALL).count() == 7
+    assert QUERIES["stored_order_lookup"](spark, SMALL).count() == 7
