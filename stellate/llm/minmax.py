@@ -21,8 +21,13 @@ A pair at a similarity of exactly 0.8 misses all bands with probability
 below 1e-8.
 
 Empty and null texts have an empty set and link with nothing; a text of fewer
-words than a shingle is one shingle. Rows that repeat an id with the same text
-are one class; rows with a null id are returned with null component and kept.
+words than a shingle is one shingle. Very long texts are sketched in pieces. Rows
+are told apart by a key of id and text: an id with two texts is two documents, of
+which each goes its own way, and rows equal in both are one class. Rows with a
+null id link like any other and come last: a component's id is its smallest
+non-null one, null where it has none, and of rows with null ids only the one that
+stands for such a component is kept. Empty tables give empty results; other
+columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +38,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import freeze, whole
+from stellate.llm.common import content_key, freeze, whole
 from stellate.llm.graph import connected_components
+from stellate.operators.broadcast import broadcast_if_small
 
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -198,40 +204,71 @@ def confirmed_links(classes: DataFrame, docs: DataFrame, s: Settings) -> DataFra
     return dealt.groupBy("component", "i", "j").applyInArrow(_compare(s.percent), "a bigint, b bigint")
 
 
+def _sketched(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
+    """For each row doc_id, ``key`` (the 128-bit key of its id and text) and the sketch of its set."""
+    own = docs.select(
+        F.col(doc_id).alias("doc_id"), content_key(doc_id, text).alias("key"), _sketch_udf(s)(whole(text)).alias("s")
+    )
+    return freeze(own.select("doc_id", "key", "s.*"), "sketch")
+
+
+def _components(docs: DataFrame, sketched: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
+    """For each class h1, h2 and ``first``: null, doc_id, key of the row that stands for its component."""
+    # the first row of a class: non-null ids before null ones; ids may repeat with other texts, keys tell them apart
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "key")
+    classes = sketched.where("n > 0").groupBy("h1", "h2").agg(
+        F.min(place).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
+    )
+    classes = freeze(classes, "classes").withColumn("node", F.monotonically_increasing_id())
+    wanted = classes.select("node", F.col("first.key").alias("key"))
+    keyed = docs.select(content_key(doc_id, text).alias("key"), F.col(text).alias("text"))
+    # rows that repeat in id and text are one before the texts move
+    texts = keyed.join(wanted, "key").groupBy("node").agg(F.first("text").alias("text"))
+    links = freeze(confirmed_links(classes, texts, s), "links")
+    parts = connected_components(links)
+    placed = classes.join(parts, "node", "left").select("h1", "h2", "first", F.coalesce("component", "node").alias("component"))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("first"))
+    return freeze(placed.drop("first").join(smallest, "component").drop("component"), "components")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    own = docs.select(F.col(doc_id).alias("node"), F.col(text).alias("text"))
-    sketched = own.select("node", _sketch_udf(settings)(whole("text")).alias("s")).select("node", "s.*")
-    sketched = freeze(sketched, "sketch")
-    linkable = sketched.where("n > 0 and node is not null")
-    # all documents of a class have the same keys, so those of its first serve
-    heads = linkable.groupBy("h1", "h2").agg(F.min("node").alias("head"))
-    classes = freeze(
-        linkable.join(heads.withColumnRenamed("head", "node"), ["h1", "h2", "node"]).dropDuplicates(["node"]),
-        "classes",
-    )
-    links = freeze(confirmed_links(classes, own, settings), "links")
-    parts = connected_components(links)
-    labelled = classes.select("h1", "h2", "node").join(parts, "node", "left").select(
-        "h1", "h2", F.coalesce("component", "node").alias("component")
+    sketched = _sketched(docs, doc_id, text, settings)
+    # frozen, so that this join's both sides arrive by a shuffle that can be split at a hot class
+    named = sketched.select("doc_id", "key", "n", "h1", "h2").join(
+        _components(docs, sketched, doc_id, text, settings), ["h1", "h2"], "left"
     )
-    return (
-        sketched.select("node", "n", "h1", "h2")
-        .join(labelled, ["h1", "h2"], "left")
-        .select(
-            F.col("node").alias("doc_id"),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("node")).alias("component_id"),
-        )
-        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    alone = F.col("n") == 0
+    return named.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        F.when(alone, F.lit(True))
+        .when(F.col("doc_id").isNull(), F.col("key") == F.col("first.key"))
+        .otherwise(F.coalesce(F.col("doc_id") == F.col("first.doc_id"), F.lit(False)))
+        .alias("kept"),
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay: one per component; an id that repeats stays once."""
-    kept = near_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(kept, F.col(doc_id) == F.col("_id"), "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
+    """The documents that stay: the first row of each component, and all rows without words."""
+    sketched = _sketched(docs, doc_id, text, settings)
+    first = _components(docs, sketched, doc_id, text, settings).select("first.key").distinct()
+    counted = sketched.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("again"))
+    stay = freeze(first.join(counted, "key"), "stay")
+    key = content_key(doc_id, text)
+    keyed = docs.withColumn("_key", key)
+    once = stay.where("not again").select(F.col("key").alias("_key"))
+    named = keyed.join(once, "_key", "left_semi").drop("_key")
+    # rows equal in id and text: the one whose other columns hash first
+    again = broadcast_if_small(stay.where("again").select(F.col("key").alias("_key")))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    single = keyed.join(again, "_key", "left_semi").groupBy("_key").agg(
+        F.min_by(row, F.xxhash64(*docs.columns)).alias("_row")
+    )
+    wordless = docs.where(~F.regexp_like(whole(text), F.lit(r"[^\x20\x09-\x0D]")))
+    return named.unionByName(single.select("_row.*")).unionByName(wordless)

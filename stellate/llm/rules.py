@@ -15,11 +15,13 @@ hold a line does not matter. Copies are the near-duplicate operator's to thin ou
 removing all of them here would lose the text altogether.
 
 Hosts and lines may be hot: counts are partial aggregates keyed by (host,
-line, document key), then by (host, line), and the match back to lines is
-a shuffle join that adaptive execution can split.
+line, document key), then by (host, line); the shared lines are written out, so
+that the match back to lines is a shuffle join that adaptive execution can split.
 
 Null text or host: an empty text, the host ``null``. Texts without words fail
-the base rule. Rows that repeat in all of id, host and text are judged alike.
+the base rule. Texts of any length are read whole. Rows that repeat in all of id,
+host and text are judged alike. An empty table gives no rows; other columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -135,8 +137,10 @@ def judge(
     lines = base.select("key", "host", "who", F.explode("lines").alias("l")).select(
         "key", "host", "who", "l.line", "l.words"
     )
+    # written first: a side straight out of an aggregate on the join key could not be split at a hot line
+    shared = freeze(boilerplate_lines(lines, limits), "boilerplate")
     gone = (
-        lines.join(boilerplate_lines(lines, limits), ["host", "line"])
+        lines.join(shared, ["host", "line"])
         .dropDuplicates(["key", "line"])
         .groupBy("key")
         .agg(F.sum("words").alias("removed"))

@@ -85,10 +85,33 @@ def test_repeated_rows_null_ids_and_the_one_that_stays(docs):
     t = prose(1, 50)
     frame = docs([(5, t, "s"), (5, t, "s"), (3, t, None), (None, t, "s"), (None, None, None), (7, prose(2, 50), "s")])
     got = Counter((r.doc_id, r.component_id, r.kept) for r in minmax.near_duplicates(frame).collect())
-    assert got == Counter({(5, 3, False): 2, (3, 3, True): 1, (None, None, True): 2, (7, 7, True): 1})
+    assert got == Counter({(5, 3, False): 2, (3, 3, True): 1, (None, 3, False): 1, (None, None, True): 1, (7, 7, True): 1})
     stay = minmax.one_of_each(frame)
     assert stay.columns == frame.columns
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in stay.collect()) == [(False, 3), (False, 7), (True, 0), (True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in stay.collect()) == [(False, 3), (False, 7), (True, 0)]
+
+
+def test_two_texts_under_one_id_go_their_own_ways(docs):
+    a, b, c = prose(11, 60), prose(12, 60), prose(13, 60)
+    frame = docs([(1, a, "s"), (1, b, "s"), (2, c, "s"), (2, edited(b, 1, 5), "s"), (0, c, "s"), (9, "", "s"), (9, "", "s")])
+    stay = Counter((r.doc_id, r.text) for r in minmax.one_of_each(frame).collect())
+    assert stay == Counter({(1, a): 1, (1, b): 1, (0, c): 1, (9, ""): 2})
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in minmax.near_duplicates(frame).collect())
+    assert got == Counter({(1, 1, True): 2, (2, 0, False): 1, (2, 1, False): 1, (0, 0, True): 1, (9, 9, True): 2})
+
+
+def test_copies_with_null_ids_are_thinned_out(docs):
+    a, b = prose(21, 60), prose(22, 60)
+    frame = docs([(None, a, "s"), (None, a, "t"), (None, edited(a, 1, 3), "s"), (None, b, "s"), (4, b, "s")])
+    assert sorted(((r.doc_id, r.text == b) for r in minmax.one_of_each(frame).collect()), key=repr) == [(4, True), (None, False)]
+
+
+def test_registered_query_on_the_whole_small_table(spark, small_docs):
+    from stellate.llm.catalog import QUERIES
+
+    want = brute_force({r.doc_id: r.text for r in small_docs.collect()})
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op5_minmax_near_dedup"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want
 
 
 def test_empty_table(docs):
