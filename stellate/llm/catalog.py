@@ -145,7 +145,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(scored: DataFrame, held_out, threshold: float) -> DataFrame:
     return scored.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 

@@ -9,10 +9,14 @@ score.
 
 Labels are known for documents only, so in training every line takes its
 document's label. The fit runs on the driver on a bounded sample
-(``max_docs`` labelled documents, the first by a hash of their id); scoring
-covers every text whole.
-
-Empty and null texts are one empty line. The score uses nothing but the text.
+(``max_docs`` labelled documents, the first by a hash of their id, of at most
+``max_lines`` lines together and ``longest`` each); scoring covers every text whole.
+
+Empty and null texts are one empty line; very long ones are laid out in tables of
+bounded size. The score uses nothing but the text. Null ids have no labels; of
+rows that repeat a labelled id, the fit takes one. Without labels, or with one
+label only, every document gets the labels' mean (0.5 without any). Empty tables
+give empty results; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import whole
+from stellate.llm.common import freeze, whole
 
 UPPER = bytes(range(65, 91))
 DIGIT = bytes(range(48, 58))
@@ -38,6 +42,8 @@ CELLS = 400_000  # of a table of documents by lines that is worked on at a time
 @dataclass(frozen=True)
 class Settings:
     max_docs: int = 3000  # labelled documents that the fit uses at most
+    max_lines: int = 300_000  # lines of these together; documents beyond it are left out of the fit
+    longest: int = 3000  # lines of one document; longer ones are left out of the fit
     steps: int = 120
     rate: float = 0.2
     ridge: float = 1e-3
@@ -133,16 +139,6 @@ def _marginals(score: np.ndarray, pair: np.ndarray, lengths: np.ndarray):
     return good, moves, log_z.sum()
 
 
-def _layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of sequences, longest first, and the (row, column) of each line."""
-    order = np.argsort(-lengths, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    rows = np.repeat(rank, lengths)
-    cols = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return order, rows, cols
-
-
 def line_marginals(model: Model, features: list[np.ndarray]) -> list[np.ndarray]:
     """P(good) of every line, by document; documents of like length are laid out together."""
     out: list[np.ndarray] = [np.empty(0)] * len(features)
@@ -175,14 +171,25 @@ def fit(features: list[np.ndarray], sizes: list[np.ndarray], labels: list[int],
         value = float(np.mean(labels)) if labels else 0.5
         odds = np.log((value + 0.01) / (1.01 - value))
         return Model(np.zeros(WIDTH), np.zeros((2, 2)), np.zeros(WIDTH), np.ones(WIDTH), (0.0, float(odds)))
+    longest_first = sorted(range(len(features)), key=lambda i: -len(features[i]))
+    features, sizes, labels = ([each[i] for i in longest_first] for each in (features, sizes, labels))
     lengths = np.array([len(f) for f in features])
+    ends = np.cumsum(lengths)
+    # documents of like length are laid out together, in tables of about CELLS places
+    groups = []
+    at = 0
+    while at < len(lengths):
+        group = slice(at, at + max(1, CELLS // int(lengths[at])))
+        own = lengths[group]
+        rows = np.repeat(np.arange(len(own)), own)
+        cols = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        groups.append((own, rows, cols, slice(int(ends[at] - lengths[at]), int(ends[at + len(own) - 1]))))
+        at = group.stop
     x = np.vstack(features)
     centre, scale = x.mean(0), x.std(0) + 1e-6
     centre[-1], scale[-1] = 0, 1  # the constant
     x = (x - centre) / scale
     y = np.repeat(np.array(labels), lengths)
-    order, rows, cols = _layout(lengths)
-    ordered = lengths[order]
     # every document weighs the same, and both labels together
     share = np.array([np.mean(labels), 1 - np.mean(labels)])
     weight = np.where(np.array(labels) == 1, 0.5 / share[0], 0.5 / share[1])
@@ -193,11 +200,15 @@ def fit(features: list[np.ndarray], sizes: list[np.ndarray], labels: list[int],
     per_line = np.repeat(weight / lengths, lengths)
     for step in range(1, s.steps + 1):
         w, pair = theta[: x.shape[1]], theta[x.shape[1] :].reshape(2, 2)
-        grid = np.zeros((len(lengths), int(lengths.max())))
-        grid[rows, cols] = x @ w
-        good, moves, _ = _marginals(grid, pair, ordered)
+        odds, good, moves = x @ w, np.empty(len(x)), np.zeros((2, 2))
+        for own, rows, cols, lines in groups:
+            grid = np.zeros((len(own), int(own[0])))
+            grid[rows, cols] = odds[lines]
+            inside, turned, _ = _marginals(grid, pair, own)
+            good[lines] = inside[rows, cols]
+            moves += turned
         gradient = np.concatenate((
-            x.T @ (per_line * (y - good[rows, cols])) / len(lengths),
+            x.T @ (per_line * (y - good)) / len(lengths),
             ((same - moves) / max(lengths.sum(), 1)).ravel(),
         ))
         gradient -= s.ridge * theta
@@ -247,9 +258,10 @@ def train(
     docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
     settings: Settings = Settings(),
 ) -> Model:
-    """Fit on at most ``settings.max_docs`` of the labelled documents given."""
+    """Fit on at most ``settings.max_docs`` of the labelled documents given, of ``settings.max_lines`` lines."""
     known = labels.where(F.col(label).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("y"))
-    known = known.distinct().orderBy(F.xxhash64("_id", F.lit(settings.seed)), "_id").limit(settings.max_docs)
+    order = F.xxhash64("_id", F.lit(settings.seed))
+    known = known.distinct().orderBy(order, "_id", "y").limit(settings.max_docs)
 
     def measure(texts):
         import pyarrow as pa
@@ -260,10 +272,21 @@ def train(
             rows.append({"f": f.ravel().tolist(), "w": w.tolist()})
         return pa.array(rows, pa.struct([("f", pa.list_(pa.float64())), ("w", pa.list_(pa.float64()))]))
 
-    lines = F.arrow_udf(measure, "struct<f:array<double>,w:array<double>>")
+    described = F.arrow_udf(measure, "struct<f:array<double>,w:array<double>>")
     # at most max_docs ids: a broadcast of proven size
-    sample = docs.join(F.broadcast(known), F.col(doc_id) == F.col("_id")).select("_id", "y", lines(whole(text)).alias("x"))
-    table = sample.select("_id", "y", "x.*").toArrow().sort_by([("_id", "ascending"), ("y", "ascending")])
+    sample = docs.join(F.broadcast(known), F.col(doc_id) == F.col("_id")).select("_id", "y", described(whole(text)).alias("x"))
+    # one text for an id and label, however often the id repeats
+    sample = freeze(sample.groupBy("_id", "y").agg(F.min("x").alias("x")), "labelled")
+    # ids and numbers of lines of at most max_docs documents
+    listed = sample.select("_id", "y", F.size("x.w").alias("n"), order.alias("h")).toArrow().to_pylist()
+    chosen, lines = [], 0
+    for r in sorted(listed, key=lambda r: (r["h"], r["_id"], r["y"])):
+        if r["n"] <= settings.longest and lines + r["n"] <= settings.max_lines:
+            lines += r["n"]
+            chosen.append((r["_id"], r["y"]))
+    used = F.broadcast(docs.sparkSession.createDataFrame(chosen, sample.select("_id", "y").schema))
+    table = sample.join(used, ["_id", "y"], "left_semi").select("_id", "y", "x.*").toArrow()
+    table = table.sort_by([("_id", "ascending"), ("y", "ascending")])
     feats = [np.array(f.as_py()).reshape(-1, WIDTH) for f in table.column("f")]
     sizes = [np.array(w.as_py()) for w in table.column("w")]
     return fit(feats, sizes, table.column("y").to_pylist(), settings)

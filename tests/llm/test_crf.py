@@ -100,3 +100,35 @@ def test_fold_is_the_crc_of_the_id_as_text(spark):
     rows = spark.range(-3, 50).select("id", crf.fold(F.col("id"), 4).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 4 for r in rows)
 
+
+
+def test_the_fit_needs_little_memory_beside_one_long_document():
+    import tracemalloc
+
+    texts = [good(i) if i % 2 else bad(i) for i in range(300)] + ["some words of a line\n" * 50_000]
+    feats, sizes = zip(*map(crf.line_features, texts), strict=True)
+    labels = [i % 2 for i in range(len(texts))]
+    tracemalloc.start()
+    model = crf.fit(list(feats), list(sizes), labels, crf.Settings(steps=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(model.unary).all() and peak < 250e6, peak
+
+
+def test_repeated_ids_and_long_texts_do_not_fill_the_driver(spark, docs):
+    frame, labels = labelled(spark, docs, 60)
+    many = frame.unionByName(docs([(3, good(3 + k), "s") for k in range(500)] + [(4, "x\n" * 100_000, "s"), (None, "no id", "s")]))
+    model = crf.train(many, labels.unionByName(labels), settings=crf.Settings(steps=10, max_lines=200))
+    assert np.isfinite(model.unary).all()
+    empty = crf.train(docs([]), labels.limit(0), settings=crf.Settings(steps=5))
+    assert [r.score for r in crf.score(docs([(1, "a", "s")]), empty).collect()] == [0.5]
+
+
+def test_registered_query_on_the_whole_small_table(spark, small_docs):
+    from stellate.llm.catalog import QUERIES
+
+    rows = QUERIES["op9_crf_quality"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == small_docs.count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)

@@ -15,7 +15,7 @@ ROOT = "/root/testdata/sf0.001"
 
 
 def components(texts):
-    sets = sets_of(texts)
+    sets = sets_of(texts, 5)
     parent = {i: i for i in texts}
 
     def root(x):
@@ -77,5 +77,15 @@ def test_every_stage_takes_odd_rows(spark, docs, rows):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == before
         cur = freeze(out, "test")
+    if rows:
+        assert {r.decoded_sha256 for r in cur.collect()} >= {hashlib.sha256(prose(i, n).encode()).hexdigest() for i, n in ((2, 50), (3, 20000))}
     ids = sorted(str(r.doc_id) for r in cur.collect())
     assert ids == (["3", "5", "6", "None"] if rows else [])
+
+
+def test_two_texts_under_one_id_both_stay(spark, docs):
+    cur = docs([(1, prose(41, 60), "s"), (1, prose(42, 60), "s"), (2, prose(42, 60), "s"), (None, prose(43, 60), "s"), (None, prose(43, 60), "t")])
+    for _, stage in corpus_pipeline.STAGES:
+        cur = freeze(stage(spark, cur, ROOT), "test")
+    want = sorted((str(i), hashlib.sha256(prose(n, 60).encode()).hexdigest()) for i, n in ((1, 41), (1, 42), (None, 43)))
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in cur.collect()) == want
