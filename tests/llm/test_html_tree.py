@@ -78,6 +78,62 @@ def test_one_odd_page_does_not_save_a_template(spark):
     assert got[999] == f"Closed on that day\n{prose(999, 12)}"
 
 
+def neutral(i, n=30):
+    """No article, no telling name: a portal's frame around a page's own text, with a rare note inside the frame."""
+    links = "".join(f"<li><a href=/{k}>Go to {prose(7000 + k, 2)}</a></li>" for k in range(6))
+    note = f"<div class=a4><p>{prose(9000 + i, 6)}</p></div>" if i % 40 == 7 else ""
+    paragraphs = "".join(f"<p>{prose(100 * i + k, 15)}</p>" for k in range(1 + i % 4))
+    return (
+        f"<body><div class=a1><div class=a2><ul>{links}</ul></div><div class=a3>All about things</div>{note}</div>"
+        f"<div class=b1><h2>{prose(300 + i, 4)}</h2>{paragraphs}</div><div class=c1><div class=c2>Kept rights</div></div></body>"
+    )
+
+
+@pytest.mark.parametrize("marks", [True, False])
+def test_the_tree_alone_removes_whole_branches(spark, marks):
+    got = texts_of(spark, [(i, f"http://n{i % 2}.example/{i}", neutral(i)) for i in range(240)], marks=marks)
+    for i, text in got.items():
+        own = [prose(300 + i, 4)] + [prose(100 * i + k, 15) for k in range(1 + i % 4)]
+        assert text == "\n".join(own), i  # the rare note goes with the branch that it is in
+
+
+def test_few_pages_say_little(spark):
+    """Two pages of a host that share a part do not make it template; belief grows with the pages."""
+    def page(i):
+        return f"<body><div class=x1>The same on all</div><p>{prose(i, 9)}</p></body>"
+
+    for n, gone in ((2, False), (4, False), (30, True)):
+        got = texts_of(spark, [(i, "http://f.example/", page(i)) for i in range(n)], marks=False)
+        assert all(("The same on all" in t) != gone for t in got.values()), n
+
+
+def test_importance_is_the_entropy_formula(spark):
+    """Composite importance by pointer jumping against the recursion on the tree."""
+    from pyspark.sql import functions as F
+
+    s = html_tree.Settings()
+    pages = spark.createDataFrame([(f"k{i}", neutral(i)) for i in range(60)], "key string, html string")
+    seen = pages.select(F.lit("h").alias("host"), "key", html_tree._seen_udf(s)("html").alias("s")).select("host", "key", "s.*")
+    tree, _ = html_tree.site_tree(seen, s)
+    rows = {r["node"]: r for r in tree.collect()}
+    kids = {}
+    for r in rows.values():
+        kids.setdefault(r["parent"], []).append(r["node"])
+
+    def composite(n):
+        return rows[n]["own"] + sum(rows[c]["weight"] * composite(c) for c in kids.get(n, ()))
+
+    got = html_tree._from_below(tree.select("host", "node", F.col("own").alias("value")), html_tree._jumps(tree), html_tree._sum)
+    found = {r["node"]: r["value"] for r in got.collect()}
+    assert set(found) == set(rows) and all(abs(found[n] - composite(n)) < 1e-9 for n in rows)
+    assert all(-1e-9 <= v <= 1 + 1e-9 for v in found.values()) and min(found.values()) < s.threshold < max(found.values())
+
+
+def test_names_with_other_words_keep_an_articles_text(spark):
+    body = '<article><p class="share-price">Up 3%</p><div class="notice-period">Three months</div><div class="share-buttons">Share</div><p class=cookie-notice>OK?</p><p>End</p></article>'
+    assert texts_of(spark, [(1, "http://s/", body)])[1] == "Up 3%\nThree months\nEnd"
+
+
 def test_mirrored_pages_are_not_template(spark):
     body = f"<body><div class=x><p>{prose(1, 30)}</p></div></body>"
     got = texts_of(spark, [(i, "http://m.example/", body) for i in range(30)])
