@@ -13,7 +13,10 @@ ASCII characters, whatever the input size, so they are read by the driver and
 become a literal. With no labelled sample a model is uniform and finds nothing.
 
 Null and empty texts have no spans. Positions are code points, end exclusive.
-Spans are found in time linear in the text (in blocks of ``BLOCK`` matches).
+Texts of any length are searched whole: spans are found, kept apart and replaced in
+sweeps over blocks of ``BLOCK`` of them, so the time is linear but for sorting.
+Rows are judged one by one, so repeated rows come out alike; an empty table gives
+no rows, and other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]{%d,}"
 ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][a-z]{11,}(?![A-Za-z0-9+/_=-])"
 SPAN = "struct<kind:int,s:int,e:int,v:string>"
 BLOCK = 256
+CHUNK = 4096  # characters
 CODES = 128
 
 
@@ -218,15 +222,74 @@ def ratio(token: Column, table: list[float]) -> Column:
     )
 
 
+ITEM = "struct<s:int,token:int,kind:int,e:int,v:string>"
+
+
+def _items(spans: str, token: int) -> Column:
+    return F.transform(
+        spans,
+        lambda x: F.struct(
+            x["s"].alias("s"), F.lit(token).alias("token"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v")
+        ),
+    )
+
+
+def _sweep(df: DataFrame, out: str, items: str, start: int, carry) -> DataFrame:
+    """Add ``out``: each of the ``items`` (array<ITEM>) as x with ``before``, what ``carry(value, x)`` made of the earlier ones.
+
+    Blocks are carried over first and then swept by themselves, so that no
+    array longer than a block grows step by step.
+    """
+    none = F.array().cast(f"array<struct<x:{ITEM},before:int>>")
+    last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+    df = df.withColumn("_cut", F.when(F.size(items) > 0, cut).otherwise(F.array().cast(f"array<array<{ITEM}>>")))
+    heads = F.aggregate(
+        "_cut",
+        F.array(F.lit(start)),
+        lambda a, block: F.concat(a, F.array(F.aggregate(block, F.element_at(a, -1), carry))),
+    )
+
+    def swept(block: Column, at: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            one = F.struct(x.alias("x"), acc["at"].alias("before"))
+            return F.struct(carry(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    every = F.flatten(F.zip_with("_cut", F.slice(heads, 1, F.size("_cut")), swept))
+    return df.withColumn(out, every).drop("_cut")
+
+
+def _free_tokens(df: DataFrame) -> DataFrame:
+    """Add ``_free``: the items of ``_tokens`` that overlap no span of ``base``, in one pass each way."""
+    df = df.withColumn("_all", F.array_sort(F.concat(_items("base", 0), _items("_tokens", 1))))
+
+    def furthest(at: Column, x: Column) -> Column:
+        return F.when(x["token"] == 0, F.greatest(at, x["e"])).otherwise(at)
+
+    def nearest(at: Column, x: Column) -> Column:
+        return F.when(x["token"] == 0, x["s"]).otherwise(at)
+
+    # from the left: no span that began before reaches into the token
+    df = _sweep(df, "_left", "_all", 0, furthest)
+    kept = F.filter("_left", lambda y: (y["x"]["token"] == 0) | (y["before"] <= y["x"]["s"]))
+    df = df.withColumn("_back", F.reverse(F.transform(kept, lambda y: y["x"])))
+    # from the right: the next span begins behind it
+    df = _sweep(df, "_right", "_back", (1 << 31) - 1, nearest)
+    free = F.filter("_right", lambda y: (y["x"]["token"] == 1) & (y["before"] >= y["x"]["e"]))
+    return df.withColumn("_free", F.transform(free, lambda y: y["x"])).drop("_all", "_left", "_back", "_right")
+
+
 def find(docs: DataFrame, table: list[float], text: str = "text", scan: Scan = Scan()) -> DataFrame:
     """Add ``base`` and ``spans``: the spans of the rules, and those with the models' added."""
     both = with_base(docs.withColumn("_t", whole(text)), F.col("_t"), {"_tokens": (TOKEN % scan.min_len, 3)})
-    free = F.filter("_tokens", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    extra = F.filter(free, lambda x: ratio(x["v"], table) >= scan.threshold)
+    both = _free_tokens(both)
+    extra = F.filter("_free", lambda x: ratio(x["v"], table) >= scan.threshold)
     extra = F.transform(
         extra, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e"), x["v"].alias("v"))
     )
-    return both.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("_tokens", "_t")
+    return both.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("_tokens", "_free", "_t")
 
 
 def as_text(spans: str) -> Column:
@@ -245,23 +308,32 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", scan: Sc
     """
     cols = docs.columns
     marked = find(docs.withColumnsRenamed({"base": "_base", "spans": "_spans"}), train(docs, text, scan), text, scan)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = x["s"] >= acc["at"]
-        gap = F.when(new, F.substring(F.col(text), acc["at"] + 1, x["s"] - acc["at"]))
-        piece = F.when(new, F.array(gap, F.lit(mark))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
-
-    rebuilt = F.aggregate(
-        "spans",
-        start,
-        step,
-        lambda acc: F.concat(F.concat_ws("", acc["out"]), F.substring(F.col(text), acc["at"] + 1, F.length(text))),
+    marked = _sweep(
+        marked.withColumn("_items", _items("spans", 0)), "_swept", "_items", 0, lambda at, x: F.greatest(at, x["e"])
     )
+    # a place in a long text is only found by walking to it, so pieces are cut from chunks, not from the text
+    marked = marked.withColumn("_chunks", F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+
+    def piece(at: Column, end: Column) -> Column:
+        first, last = F.floor(at / CHUNK).cast("int"), F.floor((end - 1) / CHUNK).cast("int")
+        parts = F.transform(
+            F.sequence(first, last),
+            lambda i: F.substring(
+                F.get("_chunks", i),
+                F.greatest(at - i * CHUNK, F.lit(0)) + 1,
+                F.least(end - i * CHUNK, F.lit(CHUNK)) - F.greatest(at - i * CHUNK, F.lit(0)),
+            ),
+        )
+        return F.when(end > at, F.array_join(parts, "")).otherwise(F.lit(""))
+
+    # a span that begins inside an earlier one is under its mark
+    heads = F.filter("_swept", lambda y: y["x"]["s"] >= y["before"])
+    cleaned = F.transform(heads, lambda y: F.concat(piece(y["before"], y["x"]["s"]), F.lit(mark)))
+    end = F.array_max(F.transform("spans", lambda x: x["e"]))
+    rebuilt = F.concat(F.array_join(cleaned, ""), piece(end, F.length(text)))
     touched = F.size("spans") > 0
     out = marked.withColumn("_new", F.when(touched, rebuilt).otherwise(F.col(text)))
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.when(touched, F.length("_new").cast("long")).otherwise(F.col("n_chars")))
-    out = out.drop(text, "base", "spans").withColumnRenamed("_new", text)
+    out = out.drop(text, "base", "spans", "_items", "_swept", "_chunks").withColumnRenamed("_new", text)
     return out.withColumnsRenamed({"_base": "base", "_spans": "spans"}).select(*cols)

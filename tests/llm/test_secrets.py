@@ -77,3 +77,49 @@ def test_empty_table(docs):
     frame = docs([])
     assert secrets.find(frame, secrets.train(frame)).count() == 0
     assert secrets.redact(frame).count() == 0
+
+
+def overlapping_corpus():
+    """Tokens beside, inside and around spans of the rules, also over the edges of blocks."""
+    rng = random.Random(17)
+    parts = []
+    for _ in range(1500):
+        word = "".join(rng.choice(secrets.ALPHABET) for _ in range(rng.randint(14, 40)))
+        parts.append(rng.choice([
+            word, f"password={word}", f"x{word}AKIA{'Q' * 20}", HEX40, f"{word}.token:{word}", "é日", f"secret='{word}'", "a b",
+        ]))
+    return rng.choice([" ", "\n"]).join(parts)
+
+
+def test_spans_and_redaction_equal_the_plain_definition(docs):
+    text = overlapping_corpus()
+    frame = docs([(1, text, "s"), (2, text[: len(text) // 3], "s")])
+    table = [0.02] * (secrets.CODES**2)  # every token is a secret unless it touches a span of the rules
+    for r in secrets.find(frame, table, scan=secrets.Scan(threshold=0.1)).collect():
+        base = rule_spans(r.text)
+        free = [("markov", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", r.text)]
+        free = [t for t in free if not any(b[1] < t[2] and t[1] < b[2] for b in base)]
+        want = sorted(base + free, key=lambda x: (x[1], secrets.KINDS.index(x[0])))
+        assert [(secrets.KINDS[x.kind], x.s, x.e) for x in r.spans] == want
+        assert len(free) > 50 and len(base) > 300
+    (out,) = secrets.redact(docs([(1, text, "s")])).collect()
+    (found,) = secrets.find(docs([(1, text, "s")]), secrets.train(docs([(1, text, "s")]))).collect()
+    plain, at = [], 0
+    for x in found.spans:
+        if x.s >= at:
+            plain += [text[at : x.s], "[SECRET]"]
+        at = max(at, x.e)
+    assert out.text == "".join(plain) + text[at:]
+
+
+def test_a_text_of_many_spans_takes_little_time(docs):
+    import time
+
+    text = " ".join(f"password=q{i:06d} Tokenlike{i:012d}" for i in range(20_000)) + " é"
+    frame = docs([(1, text, "s")])
+    table = [0.0] * (secrets.CODES**2)
+    start = time.time()
+    (r,) = secrets.find(frame, table).selectExpr("size(base) n").collect()
+    (out,) = secrets.redact(frame).collect()
+    assert r.n == 20_000 and out.text.count("[SECRET]") >= 20_000 and out.text.endswith(" é")
+    assert time.time() - start < 60  # it took minutes when each token looked at each span
