@@ -55,7 +55,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op5_minmax_near_dedup")
+WORDS_SQL = r"""
+d as (select row_number() over () as r, *,
+    list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents)"""
+
+NEAR_SQL = f"""
+with recursive {WORDS_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")},
+sets as (
+  select distinct doc_id, array_to_string(w[i : i + 3], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from d where len(w) > 0)),
+sizes as (select doc_id, count(*)::bigint as n from sets group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from common join sizes x on a = x.doc_id join sizes y on b = y.doc_id where 100 * c >= 80 * (x.n + y.n - c)),
+reached as (
+  select distinct a as doc_id, a as other from links
+  union
+  select doc_id, b from reached join links on other = a),
+parts as (select doc_id, min(other) as part from reached group by doc_id)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(part, doc_id) as component_id, coalesce(part, doc_id) = doc_id as kept
+from d left join sizes using (doc_id) left join parts using (doc_id)
+"""
+
+
+@register("op5_minmax_near_dedup", NEAR_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -105,14 +129,57 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op8_quality_rules")
+RULES_SQL = f"""
+with {WORDS_SQL.format(text="text")},
+windows as (
+  select r, i, array_to_string(w[i : i + 4], ' ') as k from (select r, w, unnest(range(1, len(w) - 3)) as i from d where len(w) >= 5)),
+again as (select r, k from windows group by r, k having count(*) > 1),
+repeated as (
+  select r, count(distinct p)::bigint as n_repeat_words
+  from (select r, unnest(range(i, i + 5)) as p from windows join again using (r, k)) group by r),
+lines as (
+  select r, host, text, line, list_filter(regexp_split_to_array(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '{{SPACE}}'),
+    lambda x: x <> '') as folded
+  from (select r, coalesce(source, 'null') as host, coalesce(text, '') as text, unnest(string_split(coalesce(text, ''), chr(10))) as line from d)),
+full_lines as (select *, array_to_string(folded, ' ') as k from lines where len(folded) > 0),
+dups as (select r, (count(*) - count(distinct line))::bigint as n_dup_lines from full_lines group by r),
+shared as (select host, k from full_lines group by host, k having count(distinct text) > 20),
+removed as (select r, sum(len(folded)) as gone from full_lines join shared using (host, k) group by r),
+counted as (
+  select r, doc_id, len(w)::bigint as n_words, length(regexp_replace(coalesce(text, ''), '{{SPACE}}', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(gone, 0) as gone
+  from d left join dups using (r) left join repeated using (r) left join removed using (r))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and 100 * (n_words - gone) >= 20 * n_words as kept
+from counted
+""".replace("{SPACE}", r"[\x20\x09-\x0D]+")
+
+
+@register("op8_quality_rules", RULES_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(read(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
-@register("op3_recompression_dedup")
+REPEATS_SQL = f"""
+with {WORDS_SQL.format(text="text")},
+windows as (
+  select r, i, array_to_string(w[i : i + 34], ' ') as k from (select r, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+again as (select k from windows group by k having count(*) > 1),
+gone as (select distinct r, unnest(range(i, i + 35)) as p from windows join again using (k)),
+places as (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
+kept as (
+  select r, string_agg(word, ' ' order by p) as t, count(*)::bigint as n
+  from (select * from places anti join gone using (r, p)) group by r)
+select doc_id, len(w)::bigint as n_words, len(w)::bigint - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (r)
+"""
+
+
+@register("op3_recompression_dedup", REPEATS_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.remove_repeats(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
