@@ -27,8 +27,14 @@ that adaptive execution can split, so a phrase that fills a third of the
 corpus needs no task of its own. Verification runs in ``passes`` over slices
 of the names, which divides the shuffle space it holds at once.
 
+Names are hashes made where the text is read, so a round needs no exchange of
+its own to agree on them across documents: equal runs and pairs have equal names
+in every task.
+
 Null and empty texts have no words and lose none; texts shorter than a window
-are returned as they are. Rows that repeat are occurrences like any other.
+are returned as they are; very long ones are worked on whole. Rows that repeat are
+occurrences like any other. An empty table gives no rows; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,8 +56,7 @@ CHUNK_WORDS = 60_000  # words a task works on at a time
 @dataclass(frozen=True)
 class Settings:
     window: int = 35
-    rounds: int = 6  # pair rounds
-    run_every: int = 6  # runs are renamed in the first round and every so many
+    rounds: int = 4  # each renames runs and then pairs; spans that decide a symbol outgrow the window after more
     passes: int = 4
 
 
@@ -94,18 +99,17 @@ def recompress(names: np.ndarray, stop: np.ndarray, s: Settings) -> tuple[np.nda
         return new[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), halt[first]
 
     for turn in range(s.rounds):
-        if turn % s.run_every == 0:
-            same = (name[1:] == name[:-1]) & ~halt[1:] & ~halt[:-1]
-            first = np.flatnonzero(np.concatenate(([True], ~same)))
-            length = np.diff(np.append(first, len(name))).astype(np.uint64)
-            # a run ends where a neighbour differs, so the neighbours decide it too
-            l2, h2 = low.copy(), high.copy()
-            l2[1:] = np.minimum(low[1:], low[:-1])
-            h2[:-1] = np.maximum(high[:-1], high[1:])
-            new, low, high, halt = gather(first, name, l2, h2)
-            run = length > 1
-            new = np.where(run, _scramble(new * STEP + length * MIX + np.uint64(turn + 1)), new)
-            name = new
+        same = (name[1:] == name[:-1]) & ~halt[1:] & ~halt[:-1]
+        first = np.flatnonzero(np.concatenate(([True], ~same)))
+        length = np.diff(np.append(first, len(name))).astype(np.uint64)
+        # a run ends where a neighbour differs, so the neighbours decide it too
+        l2, h2 = low.copy(), high.copy()
+        l2[1:] = np.minimum(low[1:], low[:-1])
+        h2[:-1] = np.maximum(high[:-1], high[1:])
+        new, low, high, halt = gather(first, name, l2, h2)
+        run = length > 1
+        new = np.where(run, _scramble(new * STEP + length * MIX + np.uint64(turn + 1)), new)
+        name = new
         second = (_scramble(name + np.uint64((turn + 101) * int(STEP) % (1 << 64))) >> np.uint64(63)).astype(bool)
         pair = ~second[:-1] & second[1:] & ~halt[:-1] & ~halt[1:]
         left, right = np.append(pair, False), np.concatenate(([False], pair))
@@ -162,67 +166,78 @@ def _lists(parts: list[np.ndarray], kind):
 
 
 def _symbols(s: Settings):
-    """Names of each text's symbols that can rule out a window."""
+    """For each text its number of words and the symbols that can rule out a window, with the spans that decide them."""
 
     def symbols(texts):
         import pyarrow as pa
 
-        parts = []
+        sizes, names, lows, spans = [], [], [], []
         for group in _chunks(texts):
             one, _, stop, first = _joined(group)
             name, low, high = recompress(one, stop, s)
             use = high - low <= s.window
-            name, low = name[use], low[use]
-            cut = np.searchsorted(low, first)
-            for a, b in zip(cut, np.append(cut[1:], len(low)), strict=True):
-                parts.append(name[a:b].view(np.int64))
-        return _lists(parts, pa.int64())
+            name, low, high = name[use], low[use], high[use]
+            cut = np.append(np.searchsorted(low, first), len(low))
+            for k, words in enumerate(group):
+                mine = slice(cut[k], cut[k + 1])
+                sizes.append(len(words))
+                names.append(name[mine].view(np.int64))
+                lows.append((low[mine] - first[k]).astype(np.int32))
+                spans.append((high[mine] - low[mine]).astype(np.int16))
+        lists = [_lists(p, k) for p, k in ((names, pa.int64()), (lows, pa.int32()), (spans, pa.int16()))]
+        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), *lists], ["n", "names", "lows", "spans"])
 
     return symbols
 
 
-def _open_windows(s: Settings):
-    """For each text and the shared names among its symbols: the windows not ruled out, with their names."""
+def _open_places(s: Settings):
+    """Where the windows begin that no symbol of a text, occurring once in the corpus, rules out."""
+
+    def places(sizes, names, lows, spans, shared):
+        import pyarrow as pa
 
-    def windows(texts, shared):
+        out = []
+        columns = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (names, lows, spans, shared)]
+        for i, size in enumerate(sizes.to_pylist()):
+            if size < s.window:
+                out.append(np.empty(0, np.int32))
+                continue
+            name, low, span, known = (values[ends[i] : ends[i + 1]] for ends, values in columns)
+            known = np.sort(known)
+            at = np.minimum(np.searchsorted(known, name), max(len(known) - 1, 0))
+            single = known[at] != name if len(known) else np.ones(len(name), bool)
+            last = size - s.window + 1
+            edge = np.zeros(last + 1, np.int64)
+            frm = np.maximum(low[single] + span[single] - s.window, 0)
+            to = np.minimum(low[single], last - 1)
+            ok = frm <= to
+            np.add.at(edge, frm[ok], 1)
+            np.add.at(edge, to[ok] + 1, -1)
+            out.append(np.flatnonzero(np.cumsum(edge[:-1]) == 0).astype(np.int32))
+        return _lists(out, pa.int32())
+
+    return places
+
+
+def _named_windows(s: Settings):
+    """The 96-bit names of a text's windows that begin at the given places."""
+
+    def windows(texts, places):
         import pyarrow as pa
 
-        ends = shared.offsets.to_numpy()
-        flat = shared.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        starts, first_names, second_names = [], [], []
+        ends = places.offsets.to_numpy()
+        flat = places.values.to_numpy(zero_copy_only=False)
+        first_names, second_names = [], []
         doc = 0
         for group in _chunks(texts):
-            one, two, stop, first = _joined(group)
-            name, low, high = recompress(one, stop, s)
-            use = high - low <= s.window
-            name, low, high = name[use], low[use], high[use]
-            cut = np.append(np.searchsorted(low, first), len(low))
+            one, two, _, first = _joined(group)
             n = len(one)
             # prefix sums of word names times powers: a window's name is a difference, scaled back
             sums, inverses = [], [_powers(np.uint64(pow(int(base), -1, 1 << 64)), n) for base in BASES]
             for names, base in zip((one, two), BASES, strict=True):
-                powers = _powers(base, n)
-                sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(names * powers, dtype=np.uint64))))
-            for k, words in enumerate(group):
-                size, a = len(words), int(first[k])
-                if size < s.window:
-                    open_at = np.empty(0, np.int64)
-                else:
-                    known = np.sort(flat[ends[doc] : ends[doc + 1]])
-                    mine = slice(cut[k], cut[k + 1])
-                    at = np.searchsorted(known, name[mine])
-                    at = np.minimum(at, max(len(known) - 1, 0))
-                    single = known[at] != name[mine] if len(known) else np.ones(cut[k + 1] - cut[k], bool)
-                    last = size - s.window + 1
-                    edge = np.zeros(last + 1, np.int64)
-                    frm = np.maximum(high[mine][single] - s.window - a, 0)
-                    to = np.minimum(low[mine][single] - a, last - 1)
-                    ok = frm <= to
-                    np.add.at(edge, frm[ok], 1)
-                    np.add.at(edge, to[ok] + 1, -1)
-                    open_at = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
-                starts.append(open_at.astype(np.int32))
-                place = open_at + a
+                sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(names * _powers(base, n), dtype=np.uint64))))
+            for a in first:
+                place = flat[ends[doc] : ends[doc + 1]] + int(a)
                 both = []
                 for total, inverse in zip(sums, inverses, strict=True):
                     both.append(_scramble((total[place + s.window] - total[place]) * inverse[place]))
@@ -230,8 +245,7 @@ def _open_windows(s: Settings):
                 second_names.append((both[1] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 doc += 1
         return pa.StructArray.from_arrays(
-            [_lists(starts, pa.int32()), _lists(first_names, pa.int64()), _lists(second_names, pa.int32())],
-            ["at", "a", "b"],
+            [_lists(first_names, pa.int64()), _lists(second_names, pa.int32())], ["a", "b"]
         )
 
     return windows
@@ -285,22 +299,21 @@ def remove_repeats(
     own = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     # rows that repeat share a key; each still counts as an occurrence of its windows
     own = own.withColumn("key", content_key("doc_id", "text"))
-    symbols = F.arrow_udf(_symbols(s), "array<bigint>")
-    named = freeze(own.select("key", symbols("text").alias("names")), "symbols")
+    symbols = F.arrow_udf(_symbols(s), "struct<n:int,names:array<bigint>,lows:array<int>,spans:array<smallint>>")
+    named = freeze(own.select("key", symbols("text").alias("s")).select("key", "s.*"), "symbols")
     each = named.select("key", F.explode("names").alias("name"))
     shared = freeze(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
-    per_doc = freeze(
-        each.join(shared.hint("shuffle_hash"), "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc"
-    )
-    find = F.arrow_udf(_open_windows(s), "struct<at:array<int>,a:array<bigint>,b:array<int>>")
+    per_doc = freeze(each.join(shared, "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
     nothing = F.array().cast("array<bigint>")
-    opened = freeze(
-        own.join(per_doc, "key", "left")
-        .select("key", find("text", F.coalesce("shared", nothing)).alias("w"))
-        .select("key", "w.*")
-        .where(F.size("at") > 0),
-        "windows",
+    left_open = F.arrow_udf(_open_places(s), "array<int>")
+    places = named.join(per_doc, "key", "left").select(
+        "key", left_open("n", "names", "lows", "spans", F.coalesce("shared", nothing)).alias("at")
     )
+    # rows that repeat have the same places
+    places = freeze(places.where(F.size("at") > 0).dropDuplicates(["key"]), "open")
+    name = F.arrow_udf(_named_windows(s), "struct<a:array<bigint>,b:array<int>>")
+    opened = own.join(places, "key").select("key", "at", name("text", "at").alias("w")).select("key", "at", "w.*")
+    opened = freeze(opened, "windows")
     found = None
     for turn in range(s.passes):
         mine = opened.select("key", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select("key", "w.*")
@@ -308,7 +321,7 @@ def remove_repeats(
         twice = freeze(
             mine.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b"), "repeated"
         )
-        part = mine.join(twice.hint("shuffle_hash"), ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
+        part = mine.join(twice, ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
         part = freeze(part, "covered")
         found = part if found is None else found.unionByName(part)
     covered = found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("at"))
