@@ -32,9 +32,11 @@ comments) goes, and where a page marks its article, or its main part, the rest
 goes too.
 
 Composite importance needs sums over a node's descendants, and branch removal its
-ancestors. Both come from pointer jumping over the nodes' parents: the number of
-rounds is the logarithm of the depth, so pages that nest thousands of elements
-cost a dozen rounds. Pages of a host with the same main text count once, so a
+ancestors. A host's merged tree has a row for each path, not for each page; up to
+``host_nodes`` rows it is judged in one task, level by level. Larger trees are judged
+by joins, with pointer jumping over the nodes' parents: the number of rounds is
+the logarithm of the depth, so elements nested by the thousand cost a dozen rounds.
+Both ways give the same. Pages of a host with the same main text count once, so a
 mirrored article is not taken for template. All statistics are partial
 aggregates keyed by host and node; what goes is matched back to the blocks by
 (host, node) and (host, node, text), never as a list per host.
@@ -107,6 +109,7 @@ class Settings:
     prior_pages: float = 2.5  # pages' worth of belief that a part is important
     damping: float = 0.9  # g: how much of a node with one style is its children
     rare: float = 0.1  # share of a branch's pages below which an important part in it does not save it
+    host_nodes: int = 200_000  # nodes of a host's tree that one task may judge; larger trees are judged by joins
     marks: bool = True  # look at article marks and names of furniture as well
 
 
@@ -468,9 +471,8 @@ def _max(value: Column, weight: Column) -> Column:
     return F.max(value)
 
 
-def low_parts(seen: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """(branches, contents): host, node of all that lies below the top of a low branch; host, node, content of low texts."""
-    tree, contents = site_tree(seen, s)
+def _judged_by_joins(tree: DataFrame, s: Settings) -> DataFrame:
+    """host, node of all that lies below the top of a low branch, for trees of any size."""
     jumps = _jumps(tree)
     composite = _from_below(tree.select("host", "node", F.col("own").alias("value")), jumps, _sum)
     judged = tree.select("host", "node", "m").join(composite, ["host", "node"])
@@ -479,16 +481,60 @@ def low_parts(seen: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     most = _from_below(telling, jumps, _max).withColumnRenamed("value", "most")
     low = judged.join(most, ["host", "node"]).where((F.col("importance") < s.threshold) & (F.col("most") < s.rare * F.col("m")))
     # nodes with a low one among their ancestors: those so many steps above, doubled
-    low = freeze(low.select("host", "node"), "low")
-    below = low.select("host", F.col("node").alias("up"))
+    below = freeze(low.select("host", F.col("node").alias("up")), "low")
     for jump in jumps:
         reached = jump.join(below, ["host", "up"], "left_semi").select("host", F.col("node").alias("up"))
         below = freeze(below.unionByName(reached).distinct(), "branch")
-    # the tops are in it as well: those without a low parent
-    first = tree.select("host", "node", "parent")
     parents = below.select("host", F.col("up").alias("parent"))
-    branches = first.join(parents, ["host", "parent"], "left_semi").select("host", "node")
-    return freeze(branches, "branches"), contents.where(F.col("importance") < s.threshold).select("host", "node", "content")
+    return tree.select("host", "node", "parent").join(parents, ["host", "parent"], "left_semi").select("host", "node")
+
+
+def _judge(s: Settings):
+    """The same for the tree of one host, in one task."""
+
+    def judge(table):
+        import pyarrow as pa
+
+        nodes, parents, depths, m, own, weight = (table.column(c).to_pylist() for c in ("node", "parent", "depth", "m", "own", "weight"))
+        at = {n: i for i, n in enumerate(nodes)}
+        up = [at.get(p) if p is not None else None for p in parents]
+        deepest_first = sorted(range(len(nodes)), key=lambda i: (-depths[i], nodes[i]))
+        value = list(own)
+        for i in deepest_first:
+            if up[i] is not None:
+                value[up[i]] += weight[i] * value[i]
+        most = [k if v >= s.threshold else 0.0 for k, v in zip(m, value, strict=True)]
+        for i in deepest_first:
+            if up[i] is not None:
+                most[up[i]] = max(most[up[i]], most[i])
+        low = [v < s.threshold and most[i] < s.rare * m[i] for i, v in enumerate(value)]
+        for i in reversed(deepest_first):
+            if up[i] is not None and low[up[i]]:
+                low[i] = True
+        below = [i for i in range(len(nodes)) if up[i] is not None and low[up[i]]]
+        host = table.column("host")[0].as_py() if table.num_rows else ""
+        return pa.table({"host": pa.array([host] * len(below), pa.string()), "node": pa.array([nodes[i] for i in below], pa.int64())})
+
+    return judge
+
+
+def low_branches(tree: DataFrame, s: Settings) -> DataFrame:
+    """host, node of all that lies below the top of a low branch."""
+    size = tree.groupBy("host").agg(F.count(F.lit(1)).alias("c"))
+    large = freeze(size.where(F.col("c") > s.host_nodes).select("host"), "large")
+    # hosts of more than host_nodes rows of the tree: few, or small beside it
+    small = tree.join(broadcast_if_small(large), "host", "left_anti")
+    columns = ("host", "node", "parent", "depth", "m", "own", "weight")
+    found = small.select(*columns).groupBy("host").applyInArrow(_judge(s), "host string, node bigint")
+    if large.isEmpty():
+        return found
+    return found.unionByName(_judged_by_joins(freeze(tree.join(large, "host", "left_semi"), "large-trees"), s))
+
+
+def low_parts(seen: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(branches, contents): host, node of all that lies below the top of a low branch; host, node, content of low texts."""
+    tree, contents = site_tree(seen, s)
+    return low_branches(tree, s), contents.where(F.col("importance") < s.threshold).select("host", "node", "content")
 
 
 def dropped(pages: DataFrame, s: Settings) -> DataFrame:
@@ -498,7 +544,7 @@ def dropped(pages: DataFrame, s: Settings) -> DataFrame:
     branches, contents = low_parts(seen, s)
     held = seen.select("host", "key", F.explode("texts").alias("t")).select("host", "key", "t.*").distinct()
     gone = held.join(branches, ["host", "node"], "left_semi").unionByName(
-        held.join(freeze(contents, "texts"), ["host", "node", "content"], "left_semi")
+        held.join(contents, ["host", "node", "content"], "left_semi")
     )
     # one page's blocks: as long as the page
     return freeze(gone.groupBy("host", "key").agg(F.collect_set(F.col("node").bitwiseXOR(F.col("content"))).alias("low")), "dropped")

@@ -89,9 +89,9 @@ def neutral(i, n=30):
     )
 
 
-@pytest.mark.parametrize("marks", [True, False])
-def test_the_tree_alone_removes_whole_branches(spark, marks):
-    got = texts_of(spark, [(i, f"http://n{i % 2}.example/{i}", neutral(i)) for i in range(240)], marks=marks)
+@pytest.mark.parametrize("settings", [{"marks": True}, {"marks": False}, {"marks": False, "host_nodes": 0}])
+def test_the_tree_alone_removes_whole_branches(spark, settings):
+    got = texts_of(spark, [(i, f"http://n{i % 2}.example/{i}", neutral(i)) for i in range(240)], **settings)
     for i, text in got.items():
         own = [prose(300 + i, 4)] + [prose(100 * i + k, 15) for k in range(1 + i % 4)]
         assert text == "\n".join(own), i  # the rare note goes with the branch that it is in
