@@ -298,7 +298,15 @@ def _put_together(spark: SparkSession, path: str, chunks: DataFrame, cut: DataFr
         "file", F.col("at").alias("start"), F.col("next").alias("end"), "head", "page_id", "url", "kind", "refers_to",
         "payload_bytes", "declared",
     )
-    pieces = places.join(wanted, "file").where("place >= start and place < end")
+    # the record that a piece is in is the last one to begin at or before it: within the split, else in an earlier one
+    begins = wanted.select("file", F.col("start").alias("place"), F.col("start").alias("begin"))
+    marked = freeze(places.join(begins, ["file", "place"], "left"), "marked")
+    so_far = Window.partitionBy("file", "split").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    tops = marked.groupBy("file", "split").agg(F.max("begin").alias("top"))
+    carried = tops.select("file", "split", F.max("top").over(before).alias("carried"))
+    held = marked.withColumn("begin", F.max("begin").over(so_far)).join(carried, ["file", "split"])
+    held = held.select("file", "split", "nr", "place", F.coalesce("begin", "carried").alias("start")).where("start is not null")
+    pieces = held.join(wanted, ["file", "start"]).where("place < end")
     bodies = _scan(spark, path).mapInArrow(texts, "file string, split bigint, nr int, body binary")
     keys = ["file", "start", "end", "head", "page_id", "url", "kind", "refers_to", "payload_bytes", "declared"]
     whole_records = (
