@@ -249,14 +249,16 @@ class Marketplace:
             order_columns=("order_id", "order_status", "order_purchase_timestamp"),
         )
 
-    def register_views(self, spark: SparkSession, reviews: DataFrame | None = None) -> dict[str, str]:
+    def register_views(
+        self, spark: SparkSession, reviews: DataFrame | None = None, prefix: str = ""
+    ) -> dict[str, str]:
         """Register the tables as session views, for SQL written against them.
 
         View names: customers, geolocation, orders, payments (also
         order_payments), products, product_category_name_translation,
         order_items, sellers and order_reviews (given here or held by the
-        marketplace). Returns
-        {view name: table}. Views are names for the lazy plans; nothing is
+        marketplace), each after ``prefix``, which keeps views of other names a
+        session may hold. Returns {view name: table}. Views are names for the lazy plans; nothing is
         materialised.
         """
         views = {
@@ -274,8 +276,8 @@ class Marketplace:
         if reviews is not None:
             views["order_reviews"] = reviews
         for name, df in views.items():
-            df.createOrReplaceTempView(name)
-        return {name: name for name in views}
+            df.createOrReplaceTempView(prefix + name)
+        return {prefix + name: name for name in views}
 
     @classmethod
     def from_raw(cls, spark: SparkSession, paths: dict[str, str]) -> "Marketplace":
