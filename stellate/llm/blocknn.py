@@ -98,6 +98,7 @@ def _tile(s: Settings):
         import pyarrow as pa
 
         dim, gq, gc = (x.as_py() for x in key)
+        crowd = max(s.crowd, s.k + 1)
         rows: list[tuple] = []
         if queries.num_rows and candidates.num_rows:
             q, qs, qe, qn, qh = _columns(queries, "id", "scale", "err", "norm", "near")
@@ -117,7 +118,7 @@ def _tile(s: Settings):
                 many = alive.sum(1)
                 for i, n in enumerate(many):
                     kind, found = PAIR, np.flatnonzero(alive[i])
-                    if n > s.crowd:
+                    if n > crowd:
                         rows.append((dim, gq, gc, q[at + i], -1, float(least[i]), float(high[i].max()), MARK))
                         kind, found = BOUND, np.argpartition(low[i], len(c) - s.k - 1)[len(c) - s.k - 1 :]
                     rows += [(dim, gq, gc, q[at + i], c[j], float(low[i, j]), float(high[i, j]), kind) for j in found]
@@ -182,8 +183,8 @@ def _usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _survivors(classes: DataFrame, s: Settings) -> DataFrame:
-    """Pairs, bounds and marks of all tiles."""
+def _survivors(classes: DataFrame, s: Settings) -> tuple[DataFrame, Column]:
+    """Pairs, bounds and marks of all tiles; and the candidate block of a class, by its id."""
     rounded = classes.select("id", "dim", "asked", _quantised()("vector").alias("r")).select("id", "dim", "asked", "r.*")
     rounded = freeze(rounded, "rounded")
     n, n_asked = rounded.agg(F.count(F.lit(1)), F.count_if("asked")).first()
@@ -200,12 +201,13 @@ def _survivors(classes: DataFrame, s: Settings) -> DataFrame:
     queries = rounded.where("asked").withColumn("gq", gq).withColumn("gc", every(blocks_c))
     candidates = rounded.withColumn("gc", gc).withColumn("gq", every(blocks_q))
     keys = ("dim", "gq", "gc")
-    return freeze(queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(_tile(s), FOUND), "tiles")
+    tiles = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(_tile(s), FOUND)
+    return freeze(tiles, "tiles"), gc
 
 
 def _scored(classes: DataFrame, s: Settings) -> DataFrame:
     """q, c, score in double precision for pairs that hold the ``k + 1`` best of every query class."""
-    found = _survivors(classes, s)
+    found, gc = _survivors(classes, s)
     order = Window.partitionBy("q").orderBy(F.desc("lo"))
     least = found.where(F.col("kind") != MARK).withColumn("n", F.row_number().over(order)).where(F.col("n") == s.k + 1)
     alive = found.join(least.select("q", F.col("lo").alias("least")), "q", "left")
@@ -220,8 +222,6 @@ def _scored(classes: DataFrame, s: Settings) -> DataFrame:
     single = pairs.select("q", "c", F.aggregate(products, F.lit(0.0), lambda a, b: a + b).alias("score"))
 
     marks = alive.where(F.col("kind") == MARK).select("dim", "gq", "gc", "q")
-    blocks_c = found.agg(F.max("gc")).first()[0]
-    gc = F.pmod(F.xxhash64("id"), F.lit((blocks_c or 0) + 1)).cast("int")
     tiles = marks.select("dim", "gq", "gc").distinct().toDF("dim", "gq", "gc")  # columns of its own
     asked = marks.join(left, "q").select("dim", "gq", "gc", F.col("q").alias("id"), F.col("_x").alias("vector"))
     near = classes.select("dim", gc.alias("gc"), "id", "first", "vector").join(tiles, ["dim", "gc"])

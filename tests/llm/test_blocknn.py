@@ -74,13 +74,20 @@ def test_a_third_in_copies_and_a_third_in_near_copies(search, crowd):
     assert search(rows, block=128, least_block=32, crowd=crowd) == brute(rows)
 
 
+def test_blocks_without_candidates(search):
+    """More blocks than vectors: some are empty, and the crowded tiles still meet their own candidates."""
+    rows = [(i, [float(np.float32(1 + 2.4e-7 * (i * 7 % 60))), 1.0, 1.0]) for i in range(60)]
+    for block in (1, 3):
+        assert search(rows, k=2, block=block, least_block=1, crowd=0) == brute(rows, 2)
+
+
 def test_a_tile_sends_few_rows_of_crowded_queries(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in 1 + rng.normal(scale=1e-6, size=8)]) for i in range(2000)]
     frame = spark.createDataFrame(rows, "id bigint, vector array<double>")
     classes = frame.select("id", F.lit(8).alias("dim"), (F.col("id") % 20 == 0).alias("asked"), "vector")
     s = blocknn.Settings(block=1024, least_block=1024, crowd=64)
-    found = blocknn._survivors(classes, s)
+    found, _ = blocknn._survivors(classes, s)
     most = found.groupBy("q", "gc").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     assert found.where("kind = 2").count() > 0 and most <= s.k + 2
 

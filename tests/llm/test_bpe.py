@@ -49,3 +49,15 @@ def test_every_token_is_its_own_encoding():
     codec = bpe.Codec(bpe.model_proto(ranks), P.PATTERN, sorted(ranks.values()), sorted(ranks, key=ranks.get)).open()
     mapped = [t.decode("latin-1").translate(bpe.TO_CHARS) for t in codec.tokens]
     assert codec.processor.encode(mapped, num_threads=1) == [[i] for i in codec.ids]
+
+
+def test_registered_query_on_the_whole_small_table(spark, small_docs, encoding):
+    from stellate.llm.catalog import QUERIES
+
+    want = {}
+    for r in small_docs.collect():
+        ids = encoding.encode_ordinary(r.text or "")
+        sha = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        want[r.doc_id] = (len(ids), sha, hashlib.sha256((r.text or "").encode()).hexdigest())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op1_byte_bpe"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want

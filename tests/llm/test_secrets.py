@@ -123,3 +123,20 @@ def test_a_text_of_many_spans_takes_little_time(docs):
     (out,) = secrets.redact(frame).collect()
     assert r.n == 20_000 and out.text.count("[SECRET]") >= 20_000 and out.text.endswith(" é")
     assert time.time() - start < 60  # it took minutes when each token looked at each span
+
+
+def test_registered_query_on_the_whole_small_table(spark, small_docs):
+    import hashlib
+
+    from stellate.llm.catalog import QUERIES
+
+    texts = {r.doc_id: r.text or "" for r in small_docs.collect()}
+    rows = QUERIES["op2_secret_scan"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        base = rule_spans(texts[r.doc_id])
+        kinds = [k for k, _, _ in base]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(kinds.count(k) for k in ("assign", "access", "hex"))
+        listed = [f"{k}:{s}:{e}" for k, s, e in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(listed) <= set(r.spans.split(",")) | {""} and (listed or r.spans == "" or "markov" in r.spans)

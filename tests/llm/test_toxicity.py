@@ -196,3 +196,15 @@ def test_empty_tables(spark, docs):
     scorer = toxicity.train(docs([]), labels)
     assert toxicity.score(docs([]), scorer).count() == 0
     assert all(0 <= r.score < 0.5 for r in toxicity.score(docs([(1, "some text", "s")]), scorer).collect())
+
+
+def test_registered_query_on_the_whole_small_table(spark, small_docs):
+    import zlib
+
+    from stellate.llm.catalog import QUERIES
+
+    rows = QUERIES["op10_noisy_channel_toxicity"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in small_docs.collect())
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
