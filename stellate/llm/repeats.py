@@ -51,6 +51,7 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASES = (np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5))
 CHUNK_WORDS = 60_000  # words a task works on at a time
+HASH_BYTES = 16 << 20  # of a hashed join side in one partition, on average
 
 
 @dataclass(frozen=True)
@@ -291,6 +292,17 @@ def _kept(window: int):
     return kept
 
 
+def _hashed(side: DataFrame, row_bytes: int) -> DataFrame:
+    """A written join side, hinted to be hashed if its partitions are measured to fit in memory; else Spark sorts.
+
+    A hashed side does not spill, so the bound is on what one shuffle partition
+    of it can hold, several times over for uneven ones.
+    """
+    spark = side.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return side.hint("shuffle_hash") if side.count() * row_bytes <= parts * HASH_BYTES else side
+
+
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -303,7 +315,7 @@ def remove_repeats(
     named = freeze(own.select("key", symbols("text").alias("s")).select("key", "s.*"), "symbols")
     each = named.select("key", F.explode("names").alias("name"))
     shared = freeze(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
-    per_doc = freeze(each.join(shared, "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
+    per_doc = freeze(each.join(_hashed(shared, 64), "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
     nothing = F.array().cast("array<bigint>")
     left_open = F.arrow_udf(_open_places(s), "array<int>")
     places = named.join(per_doc, "key", "left").select(
@@ -321,7 +333,7 @@ def remove_repeats(
         twice = freeze(
             mine.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b"), "repeated"
         )
-        part = mine.join(twice, ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
+        part = mine.join(_hashed(twice, 64), ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
         part = freeze(part, "covered")
         found = part if found is None else found.unionByName(part)
     covered = found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("at"))
