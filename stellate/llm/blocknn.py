@@ -241,7 +241,8 @@ def nearest(
     s = settings
     own = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).where(_usable("vector"))
     rows = own.withColumn("asked", F.coalesce(queries & F.col("vec_id").isNotNull(), F.lit(False)))
-    rows = freeze(rows.withColumn("key", content_key("vector")), "vectors").withColumn("id", F.monotonically_increasing_id())
+    # numbered as they are written: read again after a lost executor, a scan may be dealt otherwise
+    rows = freeze(rows.withColumn("key", content_key("vector")).withColumn("id", F.monotonically_increasing_id()), "vectors")
     # the id that decides ties; null ids come after all others
     rows = rows.withColumn("first", F.coalesce("vec_id", F.lit((1 << 63) - 1)))
     placed = Window.partitionBy("key").orderBy("first", "id")

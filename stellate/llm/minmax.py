@@ -219,7 +219,8 @@ def _components(docs: DataFrame, sketched: DataFrame, doc_id: str, text: str, s:
     classes = sketched.where("n > 0").groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
     )
-    classes = freeze(classes, "classes").withColumn("node", F.monotonically_increasing_id())
+    # numbered as they are written: read again after a lost executor, a scan may be dealt otherwise
+    classes = freeze(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     wanted = classes.select("node", F.col("first.key").alias("key"))
     keyed = docs.select(content_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     # rows that repeat in id and text are one before the texts move

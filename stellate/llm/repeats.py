@@ -312,31 +312,35 @@ def remove_repeats(
     # rows that repeat share a key; each still counts as an occurrence of its windows
     own = own.withColumn("key", content_key("doc_id", "text"))
     symbols = F.arrow_udf(_symbols(s), "struct<n:int,names:array<bigint>,lows:array<int>,spans:array<smallint>>")
-    named = freeze(own.select("key", symbols("text").alias("s")).select("key", "s.*"), "symbols")
-    each = named.select("key", F.explode("names").alias("name"))
+    # rows are numbered as they are written, so that what is shuffled by symbol or window carries 8 bytes for its text
+    named = own.select("key", symbols("text").alias("s")).select("key", "s.*")
+    named = freeze(named.withColumn("row", F.monotonically_increasing_id()), "symbols")
+    each = named.select("row", F.explode("names").alias("name"))
     shared = freeze(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
-    per_doc = freeze(each.join(_hashed(shared, 64), "name").groupBy("key").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
+    per_doc = freeze(each.join(_hashed(shared, 64), "name").groupBy("row").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
     nothing = F.array().cast("array<bigint>")
     left_open = F.arrow_udf(_open_places(s), "array<int>")
-    places = named.join(per_doc, "key", "left").select(
+    places = named.join(per_doc, "row", "left").select(
         "key", left_open("n", "names", "lows", "spans", F.coalesce("shared", nothing)).alias("at")
     )
     # rows that repeat have the same places
     places = freeze(places.where(F.size("at") > 0).dropDuplicates(["key"]), "open")
     name = F.arrow_udf(_named_windows(s), "struct<a:array<bigint>,b:array<int>>")
     opened = own.join(places, "key").select("key", "at", name("text", "at").alias("w")).select("key", "at", "w.*")
-    opened = freeze(opened, "windows")
+    opened = freeze(opened.withColumn("row", F.monotonically_increasing_id()), "windows")
     found = None
     for turn in range(s.passes):
-        mine = opened.select("key", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select("key", "w.*")
+        mine = opened.select("row", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select("row", "w.*")
         mine = mine.where(F.pmod(F.col("a"), F.lit(s.passes)) == turn)
         twice = freeze(
             mine.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b"), "repeated"
         )
-        part = mine.join(_hashed(twice, 64), ["a", "b"]).groupBy("key").agg(F.collect_set("at").alias("at"))
+        part = mine.join(_hashed(twice, 64), ["a", "b"]).groupBy("row").agg(F.collect_set("at").alias("at"))
         part = freeze(part, "covered")
         found = part if found is None else found.unionByName(part)
-    covered = found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("at"))
+    covered = found.groupBy("row").agg(F.flatten(F.collect_list("at")).alias("at"))
+    # rows that repeat have the same places
+    covered = covered.join(opened.select("row", "key"), "row").drop("row").dropDuplicates(["key"])
     cut = F.arrow_udf(_kept(s.window), "struct<n_words:bigint,n_removed:bigint,kept_text:string>")
     return (
         own.join(covered, "key", "left")
