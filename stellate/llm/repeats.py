@@ -58,6 +58,7 @@ HASH_BYTES = 16 << 20  # of a hashed join side in one partition, on average
 class Settings:
     window: int = 35
     rounds: int = 4  # each renames runs and then pairs; spans that decide a symbol outgrow the window after more
+    symbol_passes: int = 2  # slices in which symbols are counted, and windows below: each holds its part of the shuffle space
     passes: int = 4
 
 
@@ -316,8 +317,14 @@ def remove_repeats(
     named = own.select("key", symbols("text").alias("s")).select("key", "s.*")
     named = freeze(named.withColumn("row", F.monotonically_increasing_id()), "symbols")
     each = named.select("row", F.explode("names").alias("name"))
-    shared = freeze(each.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
-    per_doc = freeze(each.join(_hashed(shared, 64), "name").groupBy("row").agg(F.collect_set("name").alias("shared")), "shared-by-doc")
+    lists = None
+    for turn in range(s.symbol_passes):
+        mine = each.where(F.pmod(F.col("name"), F.lit(s.symbol_passes)) == turn)
+        shared = freeze(mine.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
+        part = mine.join(_hashed(shared, 64), "name").groupBy("row").agg(F.collect_set("name").alias("shared"))
+        part = freeze(part, "shared-by-doc")
+        lists = part if lists is None else lists.unionByName(part)
+    per_doc = lists.groupBy("row").agg(F.flatten(F.collect_list("shared")).alias("shared"))
     nothing = F.array().cast("array<bigint>")
     left_open = F.arrow_udf(_open_places(s), "array<int>")
     places = named.join(per_doc, "row", "left").select(
