@@ -37,9 +37,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,6 +219,8 @@ class Channel:
     def words(self, token: str) -> list[str]:
         """The restored words of one white-space-free token; more than one where it has several readings."""
         t = token.lower()
+        if t.isascii() and t.isalpha() and not DOUBLE.search(t):
+            return [t]
         core = t.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
         if PLAIN.match(core) and not LONG_RUN.search(core):
             if not DOUBLE.search(core) or not LATIN.match(core):
@@ -264,10 +268,37 @@ class Channel:
 
 def features(word: str, s: Settings) -> list[int]:
     """Hashed features of a restored word: the word, and its beginnings."""
-    import xxhash
-
-    names = ["=" + word, *(word[:n] for n in s.prefixes if len(word) >= n)]
-    return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) >> (64 - s.hash_bits) for x in names]
+    digest, shift, size = xxhash.xxh3_64_intdigest, 64 - s.hash_bits, len(word)
+    raw = word.encode("utf-8", "replace")
+    out = [digest(b"=" + raw) >> shift]
+    if len(raw) == size:  # a byte a character: bytes are cut where characters would be
+        for n in s.prefixes:
+            if size >= n:
+                out.append(digest(raw[:n]) >> shift)
+    else:
+        out += [digest(word[:n].encode("utf-8", "replace")) >> shift for n in s.prefixes if size >= n]
+    return out
+
+
+def word_cells(words: dict[str, int]) -> np.ndarray:
+    """How often each letter (or a word's end) follows two letters, over plain a-z words and their counts."""
+    plain, times = [], []
+    for w, n in words.items():
+        w = w.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
+        if not LATIN.match(w):
+            continue
+        plain.append(w)
+        times.append(n)
+    # one line of words with two edges before each: every letter or edge that ends a word has its two letters before it
+    line = np.frombuffer("".join(["``" + w for w in plain] + ["``"]).encode(), np.uint8).astype(np.int64) - 96
+    sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+    cell = (line[:-2] * SIZE + line[1:-1]) * SIZE + line[2:]
+    # the place after a word's end belongs to no word
+    own = np.ones(len(cell), bool)
+    own[np.cumsum(sizes + 2) - 1] = False
+    cells = np.zeros(SIZE**3, np.int64)
+    np.add.at(cells, cell[own], np.repeat(np.array(times, np.int64), sizes + 1))
+    return cells
 
 
 def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -277,22 +308,12 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
         import pyarrow as pa
 
         for b in batches:
-            words: dict[str, int] = {}
+            words = Counter()
             for t in b.column(0).to_pylist():
-                for w in t.lower().split():
-                    words[w] = words.get(w, 0) + 1
-            cells: dict[int, int] = {}
-            for w, n in words.items():
-                w = w.strip(STRIP_LEFT).rstrip(STRIP_RIGHT)
-                if LATIN.match(w):
-                    x, y = EDGE, EDGE
-                    for k in [*(ord(c) - 96 for c in w), EDGE]:
-                        cell = (x * SIZE + y) * SIZE + k
-                        cells[cell] = cells.get(cell, 0) + n
-                        x, y = y, k
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cells.keys(), pa.int32()), pa.array(cells.values(), pa.int64())], ["cell", "n"]
-            )
+                words.update(t.lower().split())
+            cells = word_cells(words)
+            at = np.flatnonzero(cells)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at], pa.int64())], ["cell", "n"])
 
     counted = docs.select(whole(text).alias("t")).mapInArrow(count, "cell int, n bigint")
     table = np.zeros(SIZE**3)
@@ -345,9 +366,10 @@ def rating(a: float, b: float, share: float, tries: float, s: Settings) -> float
 
 def summary(ratings: list[float], s: Settings) -> list[float]:
     """A text as numbers: its highest word ratings, how many are high, and how many words it has."""
-    top = sorted(ratings, reverse=True)[: s.telling]
+    some = sorted([r for r in ratings if r > 0.0], reverse=True)
+    top = some[: s.telling]
     top += [0.0] * (s.telling - len(top))
-    high = [math.log1p(sum(r >= t for r in ratings)) for t in (0.3, 0.5, 0.8)]
+    high = [math.log1p(sum([r >= t for r in some])) for t in (0.3, 0.5, 0.8)]
     return [1.0, *top, *high, math.log1p(len(ratings)) / 5]
 
 
@@ -371,7 +393,13 @@ def _opened(shared, s: Settings, name: str):
         table = parts[name] if name in parts else rated(parts["counts"], parts["share"], parts["tries"], s, name)
 
         def rate(tok: str) -> float:
-            return max((table.get(f, 0.0) for w in channel.words(tok) for f in features(w, s)), default=0.0)
+            best = 0.0
+            for w in channel.words(tok):
+                for f in features(w, s):
+                    r = table.get(f, 0.0)
+                    if r > best:
+                        best = r
+            return best
 
         parts[f"get-{name}"] = _cached({}, rate)
     return channel, parts[f"get-{name}"]

@@ -208,3 +208,27 @@ def test_registered_query_on_the_whole_small_table(spark, small_docs):
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_letters_are_counted_as_word_by_word():
+    words = {"abba": 3, "a": 2, "``": 1, "`cab'": 4, "«zz»": 1, "é": 5, "aé": 1, "ABC": 1, "a1": 7, "²": 1, "x" * 50: 2}
+    want = np.zeros(27**3, np.int64)
+    for w, n in words.items():
+        w = w.strip(toxicity.STRIP_LEFT).rstrip(toxicity.STRIP_RIGHT)
+        if w and set(w) <= set(toxicity.LETTERS):
+            x = y = 0
+            for k in [*(ord(c) - 96 for c in w), 0]:
+                want[(x * 27 + y) * 27 + k] += n
+                x, y = y, k
+    assert (toxicity.word_cells(words) == want).all() and want.sum() == 15 + 4 + 16 + 3 + 102
+    assert not toxicity.word_cells({}).any()
+
+
+def test_features_are_hashes_of_the_word_and_its_beginnings():
+    import xxhash
+
+    s = toxicity.Settings()
+    for word in ("", "abc", "abcd", "abcdefghij", "ärgerlich", "abcdéfg", "日本語日本語日", "ab\ud800cdef"):
+        names = ["=" + word, *(word[:n] for n in s.prefixes if len(word) >= n)]
+        want = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) >> (64 - s.hash_bits) for x in names]
+        assert toxicity.features(word, s) == want
