@@ -44,20 +44,31 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.set(DROP_SHUFFLES, before)
 
 
-def freeze(df: DataFrame, name: str = "frame") -> DataFrame:
+def freeze(df: DataFrame, name: str = "frame", folder: str = "") -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
     Cuts the lineage: a lost executor does not recompute what was written,
     and every later use sees the same rows. Each call takes a folder of its
-    own below ``spark.checkpoint.dir``.
+    own below ``spark.checkpoint.dir``, within ``folder`` where one is given.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    path = shared_dir(spark, "llm", *filter(None, [folder]), f"{name}-{uuid.uuid4().hex}")
     with shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession, folder: str) -> None:
+    """Delete what was frozen within ``folder``, once no frame that is still to be computed reads it."""
+    path = shared_dir(spark, "llm", folder)
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001  (Spark Connect: no access to the file system; the files stay)
+        return
+    at.getFileSystem(conf).delete(at, True)
+
+
 def content_key(*cols: str | Column) -> Column:
     """128 bits that stand for the values of ``cols`` (nulls included).
 

@@ -39,13 +39,14 @@ read, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import content_key, freeze, whole
+from stellate.llm.common import content_key, freeze, let_go, whole
 
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -130,11 +131,19 @@ def recompress(names: np.ndarray, stop: np.ndarray, s: Settings) -> tuple[np.nda
     return name[keep], low[keep], high[keep]
 
 
+def _utf8(texts):
+    """The texts' bytes, one at a time."""
+    import pyarrow as pa
+
+    kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+    return (t.as_py() for t in texts.cast(kind))
+
+
 def _chunks(texts):
     """Lists of word lists, of about CHUNK_WORDS words each."""
     group, size = [], 0
-    for t in texts:
-        words = t.as_py().encode().split()
+    for t in _utf8(texts):
+        words = t.split()
         group.append(words)
         size += len(words)
         if size >= CHUNK_WORDS:
@@ -168,12 +177,15 @@ def _lists(parts: list[np.ndarray], kind):
 
 
 def _symbols(s: Settings):
-    """For each text its number of words and the symbols that can rule out a window, with the spans that decide them."""
+    """For each text its number of words and the symbols that can rule out a window, with the spans that decide them.
+
+    A span's begin is given as the words since the one before: small numbers, that are stored and shuffled in few bytes.
+    """
 
     def symbols(texts):
         import pyarrow as pa
 
-        sizes, names, lows, spans = [], [], [], []
+        sizes, names, steps, spans = [], [], [], []
         for group in _chunks(texts):
             one, _, stop, first = _joined(group)
             name, low, high = recompress(one, stop, s)
@@ -184,10 +196,10 @@ def _symbols(s: Settings):
                 mine = slice(cut[k], cut[k + 1])
                 sizes.append(len(words))
                 names.append(name[mine].view(np.int64))
-                lows.append((low[mine] - first[k]).astype(np.int32))
+                steps.append(np.diff(low[mine], prepend=first[k]).astype(np.int32))
                 spans.append((high[mine] - low[mine]).astype(np.int16))
-        lists = [_lists(p, k) for p, k in ((names, pa.int64()), (lows, pa.int32()), (spans, pa.int16()))]
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), *lists], ["n", "names", "lows", "spans"])
+        lists = [_lists(p, k) for p, k in ((names, pa.int64()), (steps, pa.int32()), (spans, pa.int16()))]
+        return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), *lists], ["n", "names", "steps", "spans"])
 
     return symbols
 
@@ -195,16 +207,17 @@ def _symbols(s: Settings):
 def _open_places(s: Settings):
     """Where the windows begin that no symbol of a text, occurring once in the corpus, rules out."""
 
-    def places(sizes, names, lows, spans, shared):
+    def places(sizes, names, steps, spans, shared):
         import pyarrow as pa
 
         out = []
-        columns = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (names, lows, spans, shared)]
+        columns = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (names, steps, spans, shared)]
         for i, size in enumerate(sizes.to_pylist()):
             if size < s.window:
                 out.append(np.empty(0, np.int32))
                 continue
-            name, low, span, known = (values[ends[i] : ends[i + 1]] for ends, values in columns)
+            name, step, span, known = (values[ends[i] : ends[i + 1]] for ends, values in columns)
+            low = np.cumsum(step)
             known = np.sort(known)
             at = np.minimum(np.searchsorted(known, name), max(len(known) - 1, 0))
             single = known[at] != name if len(known) else np.ones(len(name), bool)
@@ -275,8 +288,8 @@ def _kept(window: int):
         ends = starts.offsets.to_numpy()
         flat = starts.values.to_numpy(zero_copy_only=False)
         words_out, removed_out, text_out = [], [], []
-        for i, t in enumerate(texts):
-            words = t.as_py().encode().split()
+        for i, t in enumerate(_utf8(texts)):
+            words = t.split()
             at = flat[ends[i] : ends[i + 1]]
             gone = np.zeros(len(words) + 1, np.int64)
             np.add.at(gone, at, 1)
@@ -312,26 +325,28 @@ def remove_repeats(
     own = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     # rows that repeat share a key; each still counts as an occurrence of its windows
     own = own.withColumn("key", content_key("doc_id", "text"))
-    symbols = F.arrow_udf(_symbols(s), "struct<n:int,names:array<bigint>,lows:array<int>,spans:array<smallint>>")
+    symbols = F.arrow_udf(_symbols(s), "struct<n:int,names:array<bigint>,steps:array<int>,spans:array<smallint>>")
     # rows are numbered as they are written, so that what is shuffled by symbol or window carries 8 bytes for its text
     named = own.select("key", symbols("text").alias("s")).select("key", "s.*")
-    named = freeze(named.withColumn("row", F.monotonically_increasing_id()), "symbols")
+    early = f"symbols-{uuid.uuid4().hex}"  # what finds the open places, let go before windows are named
+    named = freeze(named.withColumn("row", F.monotonically_increasing_id()), "symbols", early)
     each = named.select("row", F.explode("names").alias("name"))
     lists = None
     for turn in range(s.symbol_passes):
         mine = each.where(F.pmod(F.col("name"), F.lit(s.symbol_passes)) == turn)
-        shared = freeze(mine.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared")
+        shared = freeze(mine.groupBy("name").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("name"), "shared", early)
         part = mine.join(_hashed(shared, 64), "name").groupBy("row").agg(F.collect_set("name").alias("shared"))
-        part = freeze(part, "shared-by-doc")
+        part = freeze(part, "shared-by-doc", early)
         lists = part if lists is None else lists.unionByName(part)
     per_doc = lists.groupBy("row").agg(F.flatten(F.collect_list("shared")).alias("shared"))
     nothing = F.array().cast("array<bigint>")
     left_open = F.arrow_udf(_open_places(s), "array<int>")
     places = named.join(per_doc, "row", "left").select(
-        "key", left_open("n", "names", "lows", "spans", F.coalesce("shared", nothing)).alias("at")
+        "key", left_open("n", "names", "steps", "spans", F.coalesce("shared", nothing)).alias("at")
     )
     # rows that repeat have the same places
     places = freeze(places.where(F.size("at") > 0).dropDuplicates(["key"]), "open")
+    let_go(docs.sparkSession, early)
     name = F.arrow_udf(_named_windows(s), "struct<a:array<bigint>,b:array<int>>")
     opened = own.join(places, "key").select("key", "at", name("text", "at").alias("w")).select("key", "at", "w.*")
     opened = freeze(opened.withColumn("row", F.monotonically_increasing_id()), "windows")

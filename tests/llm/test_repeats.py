@@ -80,3 +80,20 @@ def test_query_on_a_whole_table(spark, name):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES[name](spark, root).collect()}
     want = brute_force(texts.values())
     assert got == {i: (a, b, hashlib.sha256(c.encode()).hexdigest()) for i, (a, b, c) in zip(texts, want, strict=True)}
+
+
+def test_what_found_the_open_places_is_let_go(spark, docs):
+    import os
+
+    from stellate.session import shared_dir
+
+    folder = shared_dir(spark, "llm").removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    shared = prose(30, 60)
+    texts = [prose(31, 50) + " " + shared, shared + " " + prose(32, 50), None, "run " * 90_000]
+    found = repeats.remove_repeats(docs([(i, t, "s") for i, t in enumerate(texts)]))
+    kept = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert kept == {"open", "windows", "repeated", "covered"}
+    # the result does not read it
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in found.collect()}
+    assert [got[i] for i in range(3)] == brute_force(texts[:3]) and got[3] == (90_000, 90_000, "")
